@@ -50,6 +50,12 @@ def parse_moment(text: Column) -> Column:
     return text.try_cast("timestamp")
 
 
+def padded_number(number: Column) -> Column:
+    """Number as text of at least three digits; longer ones stay whole."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(3)), F.lit("0"))
+
+
 def subject_code(subject_id: Column) -> Column:
     """Subject number as visits spell it: at least three digits, then ``--1``."""
-    return F.format_string("%03d--1", subject_id)
+    return F.concat(padded_number(subject_id), F.lit("--1"))

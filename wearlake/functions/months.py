@@ -12,17 +12,17 @@ CHRONOLOGICAL_DAYS = 16
 def completed_months(birth: Column, day: Column) -> Column:
     """Whole calendar months from ``birth`` to ``day``; negative before birth.
 
-    The month difference of the two calendar dates is off by at most one: it is too
-    far from zero when adding it to ``birth`` (clipped to the month's end) passes
-    ``day``. Null if either date is null.
+    Adding the difference of the calendar months to ``birth`` lands in the month of
+    ``day``, on the birth's day of month or on the month's last day. Where that lies
+    beyond ``day`` (seen from birth), the last month is not complete. Null if either
+    date is null.
     """
     born, at = F.to_date(birth), F.to_date(day)
     span = (F.year(at) - F.year(born)) * 12 + F.month(at) - F.month(born)
-    reached = F.add_months(born, span)
-    return (
-        F.when(at >= born, span - (reached > at).cast("int"))
-        .when(at < born, span + (reached < at).cast("int"))
-        .cast("int")
+    ahead = F.dayofmonth(born) - F.dayofmonth(at)
+    too_late = (ahead > 0) & (at != F.last_day(at))
+    return F.when(at >= born, span - too_late.cast("int")).otherwise(
+        span + (ahead < 0).cast("int")
     )
 
 

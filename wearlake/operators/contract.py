@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.functions.fields import DATE_FORMAT
+from wearlake.operators.keyed import BROADCAST_SERIES, broadcastable
 from wearlake.schema import DICTIONARY, DICTIONARY_TYPES
 
 
@@ -98,26 +99,51 @@ def broken_rules(element: Element) -> list[tuple[str, Column]]:
 
 
 def validate(
-    rows: DataFrame, keys: Sequence[str], dictionary: Sequence[Element] = STANDARD
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: str = "row_index",
+    dictionary: Sequence[Element] = STANDARD,
 ) -> DataFrame:
-    """Broken rows per series, column and rule, with the smallest bad value.
+    """Broken rows per series, column and rule, with the first of them and its value.
 
-    All rules are one aggregation over one scan; its result is then turned to rows.
+    All rules are one hash aggregation over one scan: it holds numbers only, the place
+    of the first bad row among them. The values at those places are looked up after.
     """
     keys = list(keys)
-    findings = []
-    for element in dictionary:
-        if element.name not in rows.columns:
-            continue
-        text = F.col(element.name).cast("string")
-        for kind, broken in broken_rules(element):
-            findings.append(
-                F.struct(
-                    F.lit(element.name).alias("column"),
-                    F.lit(kind).alias("rule"),
-                    F.count_if(broken).alias("bad_rows"),
-                    F.min(F.when(broken, text)).alias("sample"),
-                )
-            )
+    present = [element for element in dictionary if element.name in rows.columns]
+    findings = [
+        F.struct(
+            F.lit(element.name).alias("column"),
+            F.lit(kind).alias("rule"),
+            F.count_if(broken).alias("bad_rows"),
+            F.min(F.when(broken, F.col(order))).alias("first_bad_row"),
+        )
+        for element in present
+        for kind, broken in broken_rules(element)
+    ]
     wide = rows.groupBy(*keys).agg(F.array(*findings).alias("_findings"))
-    return wide.select(*keys, F.inline("_findings"))
+    tall = wide.select(*keys, F.inline("_findings"))
+    places = (
+        tall.where(F.col("first_bad_row").isNotNull())
+        .select(*keys, F.col("first_bad_row").alias(order))
+        .distinct()
+    )
+    if broadcastable(rows, keys, BROADCAST_SERIES // len(findings)):
+        places, tall_side = F.broadcast(places), F.broadcast
+    else:
+        tall_side = lambda df: df
+    values = F.array(
+        *(
+            F.struct(
+                F.lit(element.name).alias("column"),
+                F.col(element.name).cast("string").alias("sample"),
+            )
+            for element in present
+        )
+    )
+    samples = rows.join(places, [*keys, order]).select(
+        *keys, F.col(order).alias("first_bad_row"), F.inline(values)
+    )
+    return tall.join(tall_side(samples), [*keys, "first_bad_row", "column"], "left").select(
+        *keys, "column", "rule", "bad_rows", "first_bad_row", "sample"
+    )

@@ -25,15 +25,14 @@ def signal_summary(
     rows: DataFrame, keys: Sequence[str], value: str, local: str, order: str
 ) -> DataFrame:
     """Counts, time extent and moments of one signal, in one pass."""
-    at = F.struct(order, local)
     return (
         rows.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.min(local).alias("min_local"),
             F.max(local).alias("max_local"),
-            F.min(at)[local].alias("first_local"),
-            F.max(at)[local].alias("last_local"),
+            F.min_by(local, order).alias("first_local"),
+            F.max_by(local, order).alias("last_local"),
             F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("std"),
             F.min(value).alias("min"),

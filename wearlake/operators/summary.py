@@ -13,19 +13,21 @@ from wearlake.functions import fields
 WORN_SHARE = 0.9
 
 
-def _by_day(
-    rows: DataFrame, keys: Sequence[str], order: str, constants: Sequence[str]
-) -> DataFrame:
-    """Partial totals per recording and local date; the null date is one of them."""
-    moment = F.struct(order, "timestamp_utc", "timezone")
-    return rows.groupBy(*keys, F.to_date("timestamp_local").alias("_day")).agg(
+def _partials(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """Totals per recording, local date and zone; the null date is one of them.
+
+    Only fixed-width values are aggregated over the samples, so this stays a hash
+    aggregation; the zone text is a grouping key because a text cannot be.
+    """
+    return rows.groupBy(*keys, F.to_date("timestamp_local").alias("_day"), "timezone").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("device_worn") == 1).alias("_worn"),
         F.max("day_of_study").alias("_last_day"),
         F.max("day_absent").alias("_absent"),
-        F.min(moment).alias("_first"),
-        F.max(moment).alias("_last"),
-        *(F.max(name).alias(name) for name in constants),
+        F.min(order).alias("_first"),
+        F.max(order).alias("_last"),
+        F.min_by("timestamp_utc", order).alias("_first_utc"),
+        F.max_by("timestamp_utc", order).alias("_last_utc"),
     )
 
 
@@ -34,45 +36,38 @@ def _worn_days():
     return F.count_if(F.col("_day").isNotNull() & worn_enough).cast("int")
 
 
-def series_summary(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: str = "row_index",
-    constants: Sequence[str] = (),
-) -> DataFrame:
+def series_summary(rows: DataFrame, keys: Sequence[str], order: str = "row_index") -> DataFrame:
     """All per-recording scalars in one pass over the samples.
 
     Bounds and zone come from the first and last row in physical order, even if null
     there. A recording without a ``day_of_study`` column (``day_absent``) has length
-    0; one with only nulls has a null length. ``constants`` are columns with one value
-    per recording to carry along.
+    0; one with only nulls has a null length.
     """
-    return (
-        _by_day(rows, keys, order, constants)
-        .groupBy(*keys)
+    daily = (
+        _partials(rows, keys, order)
+        .groupBy(*keys, "_day")
         .agg(
-            F.when(F.max("_absent"), F.lit(0))
-            .otherwise(F.max("_last_day") + 1)
-            .cast("int")
-            .alias("length_per"),
-            _worn_days().alias("actual_devdays"),
+            F.sum("_rows").alias("_rows"),
+            F.sum("_worn").alias("_worn"),
+            F.max("_last_day").alias("_last_day"),
+            F.max("_absent").alias("_absent"),
             F.min("_first").alias("_first"),
             F.max("_last").alias("_last"),
-            F.sum("_rows").alias("n_rows"),
-            *(F.max(name).alias(name) for name in constants),
-        )
-        .select(
-            *keys,
-            *constants,
-            "length_per",
-            F.col("length_per").alias("max_devdays"),
-            "actual_devdays",
-            F.col("_first.timestamp_utc").alias("first_utc"),
-            F.col("_last.timestamp_utc").alias("last_utc"),
-            F.col("_first.timezone").alias("zone"),
-            "n_rows",
+            F.min_by("_first_utc", "_first").alias("_first_utc"),
+            F.max_by("_last_utc", "_last").alias("_last_utc"),
+            F.min_by("timezone", "_first").alias("_zone"),
         )
     )
+    length = F.when(F.max("_absent"), F.lit(0)).otherwise(F.max("_last_day") + 1).cast("int")
+    return daily.groupBy(*keys).agg(
+        length.alias("length_per"),
+        length.alias("max_devdays"),
+        _worn_days().alias("actual_devdays"),
+        F.min_by("_first_utc", "_first").alias("first_utc"),
+        F.max_by("_last_utc", "_last").alias("last_utc"),
+        F.min_by("_zone", "_first").alias("zone"),
+        F.sum("_rows").alias("n_rows"),
+    )
 
 
 def device_wear_days(
@@ -91,22 +86,22 @@ def series_length(rows: DataFrame, keys: Sequence[str], day: str = "day_of_study
 
 
 def first_value(rows: DataFrame, keys: Sequence[str], column: str, order: str) -> DataFrame:
-    """Value in the first physical row of each series, null included."""
-    first = F.min(F.struct(order, column))
-    return rows.groupBy(*keys).agg(first[column].alias(column))
+    """Value in the first physical row of each series, null included.
+
+    Values are grouped first, so that a text column needs no sort of the samples.
+    """
+    seen = rows.groupBy(*keys, column).agg(F.min(order).alias("_first"))
+    return seen.groupBy(*keys).agg(F.min_by(column, "_first").alias(column))
 
 
 def collection_bounds(
     rows: DataFrame, keys: Sequence[str], moment: str = "timestamp_utc", order: str = "row_index"
 ) -> DataFrame:
     """Date and time texts of the first and the last physical row."""
-    pair = F.struct(order, moment)
-    first, last = F.min(pair)[moment], F.max(pair)[moment]
-    return (
-        rows.groupBy(*keys)
-        .agg(first.alias("_first"), last.alias("_last"))
-        .select(*keys, *bound_texts(F.col("_first"), F.col("_last")))
+    ends = rows.groupBy(*keys).agg(
+        F.min_by(moment, order).alias("_first"), F.max_by(moment, order).alias("_last")
     )
+    return ends.select(*keys, *bound_texts(F.col("_first"), F.col("_last")))
 
 
 def bound_texts(first, last) -> list:

@@ -30,7 +30,7 @@ def series_scalars(
     code. These joins run on one row per recording, not on the samples.
     """
     keys = list(keys)
-    summary = series_summary(rows, keys, order, constants=["subject_id"])
+    summary = series_summary(rows, [*keys, "subject_id"], order)
     zone = zone_fields(F.col("zone"), as_of)
     return (
         summary.withColumn("_zone", zone)
@@ -59,12 +59,14 @@ def convert(
     age: str = "derive",
     device: str = "rules",
     small: bool | None = None,
+    keep_order: bool = False,
 ) -> DataFrame:
     """Archive columns of one signal, with the series key in front.
 
     ``age="passthrough"`` and ``device="passthrough"`` keep the columns the recording
     brings, as older layouts do (those have no ``watch_device_type``). Samples are not
     shuffled: the scalars are broadcast if ``small``, which is measured if not given.
+    ``keep_order`` adds the row order column after the key.
     """
     keys = list(keys)
     if small is None:
@@ -89,6 +91,7 @@ def convert(
         columns.remove("watch_device_type")
     full = attach(rows, scalars, keys, [order], small)
     return full.select(
-        *(F.col(k).alias(k) for k in keys),
+        *keys,
+        *([order] if keep_order else []),
         *(computed[name].alias(name) if name in computed else F.col(name) for name in columns),
     )

@@ -116,7 +116,7 @@ def converted(sensors: str, age=months) -> str:
     """CTEs up to ``conv``: the whole archive layout with the series key in front."""
     return f"""{REC}, {WORN_DAYS}, {BOUNDS}, {VISITS}, {BIRTHS}, {SUBJECTS},
 conv AS (
-  SELECT user_id, event_type, subjectkey, padded AS src_subject_id,
+  SELECT user_id, event_type, event_id, subjectkey, padded AS src_subject_id,
          strftime(local, '%m/%d/%Y') AS interview_date,
          {age("birth_date", "CAST(local AS DATE)")} AS interview_age, sex,
          {DEVICE.replace("subject_id", "user_id")} AS mt_pilot_vib_device,
@@ -253,7 +253,8 @@ def checks() -> str:
     parts = [
         f"""SELECT event_type, '{column}' AS "column", '{rule}' AS rule,
         CAST(count(*) FILTER ({column} IS NOT NULL AND {broken}) AS BIGINT) AS bad_rows,
-        min(CAST({column} AS VARCHAR)) FILTER ({column} IS NOT NULL AND {broken}) AS sample
+        min(event_id) FILTER ({column} IS NOT NULL AND {broken}) AS first_bad_row,
+        arg_min(CAST({column} AS VARCHAR), event_id) FILTER ({column} IS NOT NULL AND {broken}) AS sample
         FROM conv GROUP BY event_type"""
         for column, rule, broken in rules
     ]
@@ -263,7 +264,7 @@ def checks() -> str:
 def template() -> str:
     dropped = "device_position, accel_x, accel_y, accel_z"
     return (
-        f"WITH {converted(ACC)} SELECT * EXCLUDE (user_id, event_type, {dropped}), "
+        f"WITH {converted(ACC)} SELECT * EXCLUDE (user_id, event_type, event_id, {dropped}), "
         "CAST(NULL AS DOUBLE) AS eda_us FROM conv"
     )
 
@@ -374,11 +375,11 @@ ORACLES = {
     ),
     "csv_round_trip": "SELECT event_id, user_id, value, ts, event_type FROM events",
     "parquet_to_csv": "SELECT * FROM customer ORDER BY c_custkey LIMIT 2000",
-    "convert_acc": f"WITH {converted(ACC)} SELECT * FROM conv",
-    "convert_eda": f"WITH {converted('value AS eda_us')} SELECT * FROM conv",
-    "convert_ibi": f"WITH {converted('value AS ibi', chronological)} SELECT * FROM conv",
-    "convert_temp": f"WITH {converted('value AS skin_temp')} SELECT * FROM conv",
-    "convert_eda_salted": f"WITH {converted('value AS eda_us')} SELECT * FROM conv",
+    "convert_acc": f"WITH {converted(ACC)} SELECT * EXCLUDE (event_id) FROM conv",
+    "convert_eda": f"WITH {converted('value AS eda_us')} SELECT * EXCLUDE (event_id) FROM conv",
+    "convert_ibi": f"WITH {converted('value AS ibi', chronological)} SELECT * EXCLUDE (event_id) FROM conv",
+    "convert_temp": f"WITH {converted('value AS skin_temp')} SELECT * EXCLUDE (event_id) FROM conv",
+    "convert_eda_salted": f"WITH {converted('value AS eda_us')} SELECT * EXCLUDE (event_id) FROM conv",
     "conform_template": template(),
     "validate_dictionary": checks(),
     "signal_summary": f"""WITH {REC} SELECT user_id, event_type, CAST(count(*) AS BIGINT) AS n_rows,

@@ -357,7 +357,7 @@ def conform_template(spark, sf_dir):
 
 @query
 def validate_dictionary(spark, sf_dir):
-    return contract.validate(_convert(spark, sf_dir, "eda"), SIGNAL)
+    return contract.validate(_convert(spark, sf_dir, "eda", keep_order=True), SIGNAL, "event_id")
 
 
 # ---- signal statistics ----------------------------------------------------------

@@ -42,18 +42,14 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with the columns a recording has; ``event_id`` is the row order."""
     events = table(spark, sf_dir, "events")
     zones = F.array(*(F.lit(zone) for zone in ZONES))
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.regexp_extract("props", r'"k":\s*(\d+)', 1).cast("int")
     return events.select(
         "event_id",
         "user_id",
         "event_type",
         "value",
         F.col("user_id").cast("int").alias("subject_id"),
-        F.lpad(
-            F.col("user_id").cast("string"),
-            F.greatest(F.length(F.col("user_id").cast("string")), F.lit(3)),
-            F.lit("0"),
-        ).alias("src_subject_id"),
+        fields.padded_number(F.col("user_id")).alias("src_subject_id"),
         F.pmod("event_id", F.lit(2)).cast("int").alias("device_position"),
         F.col("ts").cast("timestamp").alias("timestamp_utc"),
         (F.col("ts") - F.expr("INTERVAL 5 HOURS")).alias("timestamp_local"),

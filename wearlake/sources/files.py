@@ -43,9 +43,10 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
             system, path, _ = open_base()
             found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
             kept = [f for f in found if f.type == fs.FileType.Directory]
-            yield pd.DataFrame(
-                {"folder": [f.base_name for f in kept], "path": [f.path for f in kept]}
-            )
+            if kept:
+                yield pd.DataFrame(
+                    {"folder": [f.base_name for f in kept], "path": [f.path for f in kept]}
+                )
 
     def files(batches):
         import pandas as pd
