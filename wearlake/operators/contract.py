@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearlake.functions.fields import DATE_FORMAT
-from wearlake.operators.keyed import BROADCAST_SERIES, broadcastable
+from wearlake.operators.keyed import BROADCAST_SERIES, materialise
 from wearlake.schema import DICTIONARY, DICTIONARY_TYPES
 
 
@@ -74,20 +75,28 @@ def _allowed(text: Column, rule: str) -> tuple[str, Column]:
     return "choice", ~text.isin(*choices)
 
 
-def broken_rules(element: Element) -> list[tuple[str, Column]]:
+def _wrong_type(text: Column, wanted: str, stored: T.DataType) -> Column:
+    """Condition that a value is not of the wanted type; constant if its column is."""
+    whole = isinstance(stored, T.IntegralType)
+    if wanted == "Integer":
+        return F.lit(False) if whole else text.try_cast("bigint").isNull()
+    if wanted == "Float":
+        number = whole or isinstance(stored, T.FractionalType)
+        return F.lit(False) if number else text.try_cast("double").isNull()
+    dated = isinstance(stored, T.DateType)
+    return F.lit(False) if dated else F.try_to_date(text, DATE_FORMAT).isNull()
+
+
+def broken_rules(element: Element, stored: T.DataType) -> list[tuple[str, Column]]:
     """Conditions under which a value breaks one of the element's rules.
 
-    A null breaks only the rule that a value is required.
+    A null breaks only the rule that a value is required. ``stored`` is the type of
+    the column the values are in.
     """
     text = F.col(element.name).cast("string")
     rules = []
-    typed = {
-        "Integer": lambda: text.try_cast("bigint"),
-        "Float": lambda: text.try_cast("double"),
-        "Date": lambda: F.try_to_date(text, DATE_FORMAT),
-    }
-    if element.type in typed:
-        rules.append(("type", typed[element.type]().isNull()))
+    if element.type in ("Integer", "Float", "Date"):
+        rules.append(("type", _wrong_type(text, element.type, stored)))
     if element.size is not None:
         rules.append(("size", F.length(text) > element.size))
     if element.allowed is not None:
@@ -107,31 +116,36 @@ def validate(
     """Broken rows per series, column and rule, with the first of them and its value.
 
     All rules are one hash aggregation over one scan: it holds numbers only, the place
-    of the first bad row among them. The values at those places are looked up after.
+    of the first bad row among them. That small result is frozen, then the values at
+    those places are looked up.
     """
     keys = list(keys)
     present = [element for element in dictionary if element.name in rows.columns]
+    rules = [
+        (element.name, kind, broken)
+        for element in present
+        for kind, broken in broken_rules(element, rows.schema[element.name].dataType)
+    ]
+    # Each rule is worked out once per row, then only its flag is aggregated.
+    flagged = rows.select(*keys, order, *(b.alias(f"_{i}") for i, (_, _, b) in enumerate(rules)))
     findings = [
         F.struct(
-            F.lit(element.name).alias("column"),
+            F.lit(name).alias("column"),
             F.lit(kind).alias("rule"),
-            F.count_if(broken).alias("bad_rows"),
-            F.min(F.when(broken, F.col(order))).alias("first_bad_row"),
+            F.count_if(F.col(f"_{i}")).alias("bad_rows"),
+            F.min(F.when(F.col(f"_{i}"), F.col(order))).alias("first_bad_row"),
         )
-        for element in present
-        for kind, broken in broken_rules(element)
+        for i, (name, kind, _) in enumerate(rules)
     ]
-    wide = rows.groupBy(*keys).agg(F.array(*findings).alias("_findings"))
-    tall = wide.select(*keys, F.inline("_findings"))
+    wide = flagged.groupBy(*keys).agg(F.array(*findings).alias("_findings"))
+    tall = materialise(wide.select(*keys, F.inline("_findings")))
     places = (
         tall.where(F.col("first_bad_row").isNotNull())
         .select(*keys, F.col("first_bad_row").alias(order))
         .distinct()
     )
-    if broadcastable(rows, keys, BROADCAST_SERIES // len(findings)):
-        places, tall_side = F.broadcast(places), F.broadcast
-    else:
-        tall_side = lambda df: df
+    small = tall.count() <= BROADCAST_SERIES
+    place = F.broadcast if small else (lambda df: df)
     values = F.array(
         *(
             F.struct(
@@ -141,9 +155,9 @@ def validate(
             for element in present
         )
     )
-    samples = rows.join(places, [*keys, order]).select(
+    samples = rows.join(place(places), [*keys, order]).select(
         *keys, F.col(order).alias("first_bad_row"), F.inline(values)
     )
-    return tall.join(tall_side(samples), [*keys, "first_bad_row", "column"], "left").select(
+    return tall.join(place(samples), [*keys, "first_bad_row", "column"], "left").select(
         *keys, "column", "rule", "bad_rows", "first_bad_row", "sample"
     )
