@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wearlake.functions.fields import DATE_FORMAT
-from wearlake.operators.keyed import BROADCAST_SERIES, materialise
+from wearlake.operators.keyed import BROADCAST_SERIES, join_on, materialise
 from wearlake.schema import DICTIONARY, DICTIONARY_TYPES
 
 
@@ -145,7 +145,6 @@ def validate(
         .distinct()
     )
     small = tall.count() <= BROADCAST_SERIES
-    place = F.broadcast if small else (lambda df: df)
     values = F.array(
         *(
             F.struct(
@@ -155,9 +154,10 @@ def validate(
             for element in present
         )
     )
-    samples = rows.join(place(places), [*keys, order]).select(
+    samples = join_on(rows, places, [*keys, order], small=small).select(
         *keys, F.col(order).alias("first_bad_row"), F.inline(values)
     )
-    return tall.join(place(samples), [*keys, "first_bad_row", "column"], "left").select(
+    found = join_on(tall, samples, [*keys, "first_bad_row", "column"], "left", small=small)
+    return found.select(
         *keys, "column", "rule", "bad_rows", "first_bad_row", "sample"
     )

@@ -8,8 +8,9 @@ only per-chunk or per-series totals meet in one place.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearlake.session import scratch_dir
@@ -40,6 +41,25 @@ def broadcastable(
     return source.select(*keys).distinct().count() <= limit
 
 
+def join_on(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    small: bool = False,
+) -> DataFrame:
+    """Join on equal keys where null equals null, so that no series gets lost.
+
+    ``small`` is the caller's word that the right side was measured and may be
+    broadcast; otherwise Spark decides.
+    """
+    renamed = right.withColumnsRenamed({key: f"_on_{key}" for key in keys})
+    matches = [F.col(key).eqNullSafe(F.col(f"_on_{key}")) for key in keys]
+    condition = reduce(lambda a, b: a & b, matches)
+    side = F.broadcast(renamed) if small else renamed
+    return left.join(side, condition, how).drop(*(f"_on_{key}" for key in keys))
+
+
 def attach(
     rows: DataFrame,
     per_series: DataFrame,
@@ -55,12 +75,10 @@ def attach(
     """
     keys = list(keys)
     if small:
-        return rows.join(F.broadcast(per_series), keys, "left")
+        return join_on(rows, per_series, keys, "left", small=True)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
-    copies = per_series.withColumn(
-        "_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)"))
-    )
-    return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    copies = per_series.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    return join_on(salted, copies, [*keys, "_salt"], "left").drop("_salt")
 
 
 def positions(
@@ -77,7 +95,7 @@ def positions(
     ranges before. The cut is fixed by the value, so both branches always agree.
     """
     keys = list(keys)
-    cut = rows.withColumn("_cut", F.floor(F.col(order) / F.lit(chunk)))
+    cut = rows.withColumn("_cut", whole_part(order, chunk))
     before = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -87,14 +105,19 @@ def positions(
         .select(*keys, "_cut", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     within = Window.partitionBy(*keys, "_cut").orderBy(order)
+    numbered = cut.withColumn("_rank", F.row_number().over(within) - 1)
     return (
-        cut.withColumn("_rank", F.row_number().over(within) - 1)
-        .join(starts, [*keys, "_cut"])
+        join_on(numbered, starts, [*keys, "_cut"])
         .withColumn(out, F.col("_start") + F.col("_rank"))
         .drop("_cut", "_rank", "_start")
     )
 
 
+def whole_part(column: str, size: int, shift: int = 0) -> Column:
+    """Integer quotient of ``column + shift`` by ``size``."""
+    return F.expr(f"(`{column}` + {shift}L) div {size}L")
+
+
 class Chunked:
     """Rows cut into chunks of their position, with neighbours' rows as a halo.
 
@@ -113,10 +136,9 @@ class Chunked:
         after: int,
         chunk: int = CHUNK_ROWS,
     ):
-        at = F.col(position)
-        first = F.greatest(F.floor((at - after) / F.lit(chunk)), F.lit(0))
-        last = F.floor((at + before) / F.lit(chunk))
-        self._home = F.floor(at / F.lit(chunk))
+        first = F.greatest(whole_part(position, chunk, -after), F.lit(0))
+        last = whole_part(position, chunk, before)
+        self._home = whole_part(position, chunk)
         self.rows = rows.withColumn("_chunk", F.explode(F.sequence(first, last)))
         self.window = Window.partitionBy(*keys, "_chunk").orderBy(position)
 

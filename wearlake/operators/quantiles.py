@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.operators.keyed import broadcastable, materialise
+from wearlake.operators.keyed import broadcastable, join_on, materialise
 
 # Spark's exact percentile keeps one counter per distinct value of a group. It is
 # used only where the largest group was measured to have fewer values than this.
@@ -79,17 +79,16 @@ def ranked_percentiles(
         .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size")))
     )
     small = broadcastable(rows, keys)
-    place = F.broadcast if small else (lambda df: df)
     touched = asked.select(*keys, "_part", "_before").distinct()
     upto = Window.partitionBy(*keys, "_part").orderBy("_value").rowsBetween(
         Window.unboundedPreceding, 0
     )
     looked_into = (
-        ordered.join(place(touched), [*keys, "_part"])
+        join_on(ordered, touched, [*keys, "_part"], small=small)
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(upto))
         .drop("_before")
     )
-    hits = looked_into.join(place(asked), [*keys, "_part"]).where(
+    hits = join_on(looked_into, asked, [*keys, "_part"], small=small).where(
         (F.col("_rank") >= F.col("_upto") - F.col("_n")) & (F.col("_rank") < F.col("_upto"))
     )
     low, high = F.min("_value"), F.max("_value")
@@ -97,4 +96,4 @@ def ranked_percentiles(
     found = hits.groupBy(*keys, "_i").agg((low + (high - low) * share).alias("_q"))
     by_share = F.sort_array(F.collect_list(F.struct("_i", "_q")))  # one entry per share
     answered = found.groupBy(*keys).agg(F.transform(by_share, lambda e: e["_q"]).alias("quantiles"))
-    return rows.select(*keys).distinct().join(answered, keys, "left")
+    return join_on(rows.select(*keys).distinct(), answered, keys, "left")

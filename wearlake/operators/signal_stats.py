@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlake.operators.keyed import CHUNK_ROWS, Chunked, attach, broadcastable
+from wearlake.operators.keyed import CHUNK_ROWS, Chunked, attach, broadcastable, join_on
 from wearlake.operators.quantiles import COUNTED_VALUES, most_distinct, percentiles
 
 # fixed values: histogram bins, quartiles, reach of box-plot whiskers
@@ -112,7 +112,7 @@ def describe_numeric(
             one = percentiles(rows, keys, name, QUARTILES, counted_values)
             one = one.withColumn("column", F.lit(name))
             quantiles = one if quantiles is None else quantiles.unionByName(one)
-        tall = tall.join(quantiles, [*keys, "column"], "left")
+        tall = join_on(tall, quantiles, [*keys, "column"], "left")
     return tall.select(
         *keys, "column", "count", "mean", "std", "min",
         *(F.get("quantiles", F.lit(i)).alias(f"q{int(s * 100)}") for i, s in enumerate(QUARTILES)),

@@ -21,6 +21,7 @@ _SPEED_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

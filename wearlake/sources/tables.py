@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wearlake.operators.keyed import BROADCAST_SERIES, join_on, materialise
 from wearlake.schema import METADATA_SCHEMA, VISIT_COLUMNS
 
 
@@ -15,7 +16,8 @@ def with_csv_rows(raw: DataFrame, out: str = "row_index") -> DataFrame:
 
     Rows of one split keep their order, so their running id less the split's smallest
     gives the place in the split; the row counts of the splits before are added. Only
-    split totals are brought together, never rows.
+    split totals are brought together, never rows; they are frozen and counted, which
+    settles whether they may be broadcast.
     """
     at = raw.select(
         "*",
@@ -34,8 +36,10 @@ def with_csv_rows(raw: DataFrame, out: str = "row_index") -> DataFrame:
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         )
     )
+    splits = materialise(splits)
+    small = splits.count() <= BROADCAST_SERIES
     return (
-        at.join(splits, ["_file", "_block"])
+        join_on(at, splits, ["_file", "_block"], small=small)
         .withColumn(out, F.col("_start") + F.col("_id") - F.col("_first"))
         .drop("_file", "_block", "_id", "_first", "_start")
     )
