@@ -7,6 +7,7 @@ only per-chunk or per-series totals meet in one place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -31,6 +32,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared scratch folder and read it back.
+
+    For rows that several passes need: each pass then reads only its own columns.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcastable(
     source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_SERIES
 ) -> bool:

@@ -13,7 +13,7 @@ from wearlake.functions.months import chronological_months, completed_months
 from wearlake.functions.zones import zone_fields
 from wearlake.operators import births, contract, lookup, quantiles, rolling, signal_stats, summary
 from wearlake.operators.audit import audit
-from wearlake.operators.keyed import positions
+from wearlake.operators.keyed import positions, stored
 from wearlake.plans import convert as conversion
 from wearlake.plans import driver_tables as given
 from wearlake.schema import template_columns
@@ -357,7 +357,9 @@ def conform_template(spark, sf_dir):
 
 @query
 def validate_dictionary(spark, sf_dir):
-    return contract.validate(_convert(spark, sf_dir, "eda", keep_order=True), SIGNAL, "event_id")
+    """Converted once and stored, as the check takes two passes."""
+    converted = stored(_convert(spark, sf_dir, "eda", keep_order=True))
+    return contract.validate(converted, SIGNAL, "event_id")
 
 
 # ---- signal statistics ----------------------------------------------------------

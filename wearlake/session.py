@@ -22,6 +22,8 @@ _SPEED_SETTINGS = {
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Call-site capture doubles the round trips of building a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
