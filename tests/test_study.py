@@ -1,6 +1,7 @@
 """The whole way from a study folder to CSV."""
 
 import mini_study
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,8 +40,9 @@ def converted(spark, study, opened, **options):
 @pytest.mark.parametrize("signal", SIGNALS)
 def test_converted_rows_equal_pandas(spark, study, opened, signal):
     rows = converted(spark, study, opened)[signal]
-    assert rows.columns == ["participant_id", "signal", "side", *output_columns(signal)]
-    assert rows_of(rows) == wanted(study.frames, signal)
+    key = ["participant_id", "signal", "side"]
+    assert rows.columns == [*key, "row_index", *output_columns(signal)]
+    assert rows_of(rows.drop("row_index")) == wanted(study.frames, signal)
 
 
 @pytest.mark.parametrize("signal", ["eda", "temp"])
@@ -53,9 +55,8 @@ def test_salted_join_gives_the_same_rows(spark, study, opened, signal):
 
 def test_row_limit_comes_before_every_summary(spark, study, opened):
     rows = converted(spark, study, opened, row_limits={"acc": 7, "temp": 7})
-    assert rows_of(rows["acc"]) == wanted(study.frames, "acc", 7)
-    assert rows_of(rows["temp"]) == wanted(study.frames, "temp", 7)
-    assert rows_of(rows["ibi"]) == wanted(study.frames, "ibi")
+    for signal, limit in (("acc", 7), ("temp", 7), ("ibi", -1)):
+        assert rows_of(rows[signal].drop("row_index")) == wanted(study.frames, signal, limit)
 
 
 @pytest.mark.parametrize("limits", [{"acc": 0}, {"acc": -5}, {"bvp": 3}])
@@ -93,7 +94,7 @@ def test_csv_holds_every_row(spark, study, opened, tmp_path):
     for signal in SIGNALS:
         assert rows[signal].count() > 0
         read = spark.read.option("header", True).csv(f"{tmp_path}/{signal}")
-        names = rows[signal].columns
+        names = [n for n in rows[signal].columns if n != "row_index"]
         texts = rows[signal].select(
             *(F.nullif(F.col(n).cast("string"), F.lit("")).alias(n) for n in names)
         )
@@ -105,6 +106,32 @@ def test_csv_holds_every_row(spark, study, opened, tmp_path):
         assert row["n_written"] == (len(study.frames[stem]) if exported else 0), stem
 
 
+def test_csv_keeps_the_row_order(spark, study, opened, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        plan.write_study({"acc": converted(spark, study, opened)["acc"]}, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    left = tmp_path / "acc" / "participant_id=SP1" / "signal=acc" / "side=left"
+    parts = sorted(left.glob("*.csv"))
+    times = [pd.read_csv(p)["device_timestamp"].tolist() for p in parts]
+    assert len(parts) > 1 and all(t == sorted(t) for t in times)
+    frame = study.frames["SP1_e4_acc_left"]
+    assert sorted(sum(times, [])) == frame["timestamp_utc"].dt.strftime("%Y-%m-%d %H:%M:%S.%f").tolist()
+
+
+def test_of_files_with_one_name_the_placed_one_counts(spark, study, tmp_path):
+    for folder, source in (("SP5", "SP1"), ("SP6", "SP2")):
+        (tmp_path / folder).mkdir()
+        for signal in SIGNALS:
+            data = open(f"{study.base}/{source}/{source}_e4_{signal}_left.parquet", "rb").read()
+            for name in ("SP5", "SP6"):
+                (tmp_path / folder / f"{name}_e4_{signal}_left.parquet").write_bytes(data)
+    found = plan.open_study(spark, str(tmp_path), check_data=False)
+    kept = sorted((r.folder, r.file_name[:3]) for r in found.recordings.collect())
+    assert kept == [("SP5", "SP5")] * 4 + [("SP6", "SP6")] * 4
+
+
 def test_blank_text_is_written_as_nothing(spark, study, opened, tmp_path):
     plan.write_study({"eda": converted(spark, study, opened)["eda"]}, str(tmp_path))
     written = [p for p in tmp_path.rglob("*.csv") if "participant_id=SP84" in str(p)]

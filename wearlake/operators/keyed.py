@@ -18,10 +18,11 @@ from wearlake.session import scratch_dir
 
 CHUNK_ROWS = 1_000_000
 
-# A per-series table is broadcast only if its series were counted and stay below
-# this number; at the allowance per row that is about 64 MB.
-BROADCAST_SERIES = 250_000
+# A per-series table is broadcast only if its series were counted and fit into this
+# many bytes at the allowance per row.
+BROADCAST_BYTES = 64 << 20
 BROADCAST_ROW_BYTES = 256
+BROADCAST_SERIES = BROADCAST_BYTES // BROADCAST_ROW_BYTES
 
 SALTS = 64
 

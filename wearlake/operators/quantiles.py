@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.operators.keyed import broadcastable, join_on, materialise
+from wearlake.operators.keyed import BROADCAST_SERIES, broadcastable, join_on, materialise
 
 # Spark's exact percentile keeps one counter per distinct value of a group. It is
 # used only where the largest group was measured to have fewer values than this.
@@ -78,7 +78,7 @@ def ranked_percentiles(
         .distinct()
         .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size")))
     )
-    small = broadcastable(rows, keys)
+    small = broadcastable(rows, keys, BROADCAST_SERIES // (2 * len(shares)))
     touched = asked.select(*keys, "_part", "_before").distinct()
     upto = Window.partitionBy(*keys, "_part").orderBy("_value").rowsBetween(
         Window.unboundedPreceding, 0

@@ -59,6 +59,11 @@ def open_study(
     checked = materialise(checked)
     complete = report.where("complete").select("folder")
     usable = checked.where("ok").join(complete, "folder", "left_semi")
+    # Of files with the same name the one in its own participant's folder counts.
+    preferred = usable.groupBy("file_name").agg(
+        F.min(F.struct("misplaced", "path"))["path"].alias("path")
+    )
+    usable = materialise(usable.join(preferred.select("path"), "path", "left_semi"))
     return Study(chosen, report, checked, usable)
 
 
@@ -87,7 +92,7 @@ def convert_study(
     as_of: datetime | None = None,
     **options: str,
 ) -> dict[str, DataFrame]:
-    """Converted rows of every signal.
+    """Converted rows of every signal, with their row order in the file.
 
     The file listing bounds the number of recordings, which settles the broadcast.
     """
@@ -105,6 +110,7 @@ def convert_study(
             births,
             as_of=as_of,
             small=small,
+            keep_order=True,
             **options,
         )
         for signal in SIGNALS

@@ -74,7 +74,7 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
     roots = spark.createDataFrame([(base,)], "base string")
     return (
         roots.mapInPandas(folders, "folder string, path string")
-        .repartition("path")
+        .repartition(spark.sparkContext.defaultParallelism, "path")
         .mapInPandas(files, FILE_SCHEMA)
     )
 
@@ -126,7 +126,9 @@ def with_footers(files: DataFrame, base: str) -> DataFrame:
             extra = pd.DataFrame(found, columns=added, index=batch.index, dtype=object)
             yield pd.concat([batch, extra], axis=1)
 
-    spread = files.repartition("path")
+    # A fixed number of tasks: rows this small would otherwise be merged into one.
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    spread = files.repartition(tasks, "path")
     return spread.mapInPandas(footers, f"{FILE_SCHEMA}, {FOOTER_SCHEMA}")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.functions import names
-from wearlake.operators.keyed import attach, broadcastable
+from wearlake.operators.keyed import BROADCAST_SERIES, attach, broadcastable, materialise
 from wearlake.schema import RECORDING_TYPES, SENSORS, SERIES
 from wearlake.session import prepare
 from wearlake.sources import files as tree
@@ -61,13 +61,25 @@ def scan(
     """All recordings of one signal, with canonical columns and physical row order.
 
     ``first_rows`` keeps that many rows of each file, before anything is derived; -1
-    keeps all. The limit is a filter on the row index, so it reaches the scan.
+    keeps all. The limit is a filter on the row index, so it reaches the scan. What the
+    file name says is worked out once per file and joined on, not once per row.
     """
     prepare(spark)
     wanted = wanted_columns(signal)
     parts = []
     relevant = F.filter("columns", lambda c: c["name"].isin(list(wanted)))
-    usable = checked.where((F.col("signal") == signal) & F.col("readable"))
+    usable = materialise(checked.where((F.col("signal") == signal) & F.col("readable")))
+    file = F.col("file_name")
+    named = usable.select(
+        "file_name",
+        names.participant(file).alias("participant_id"),
+        names.recording_part(file, 2).alias("signal"),
+        names.recording_part(file, 3).alias("side"),
+        names.subject_number(file).alias("subject_id"),
+        names.padded_subject(file).alias("src_subject_id"),
+        names.wrist_position(file).alias("device_position"),
+    ).distinct()
+    small = usable.count() <= BROADCAST_SERIES
     for layout, paths in tree.paths_by_layout(usable, F.sort_array(relevant)):
         found = dict(layout)
         readable = {n: _read_type(t) for n, t in found.items() if _read_type(t) is not None}
@@ -78,20 +90,13 @@ def scan(
         )
         if first_rows >= 0:
             raw = raw.where(F.col("row_index") < first_rows)
-        file = F.col("file_name")
-        parts.append(
-            raw.select(
-                names.participant(file).alias("participant_id"),
-                names.recording_part(file, 2).alias("signal"),
-                names.recording_part(file, 3).alias("side"),
-                names.subject_number(file).alias("subject_id"),
-                names.padded_subject(file).alias("src_subject_id"),
-                names.wrist_position(file).alias("device_position"),
-                "row_index",
-                F.lit("day_of_study" not in found).alias("day_absent"),
-                *(_canonical(n, found.get(n), t) for n, t in wanted.items()),
-            )
+        rows = raw.select(
+            "file_name",
+            "row_index",
+            F.lit("day_of_study" not in found).alias("day_absent"),
+            *(_canonical(n, found.get(n), t) for n, t in wanted.items()),
         )
+        parts.append(attach(rows, named, ["file_name"], ["row_index"], small).drop("file_name"))
     if not parts:
         return spark.createDataFrame([], _empty_schema(wanted))
     return reduce(DataFrame.unionByName, parts)
@@ -100,9 +105,10 @@ def scan(
 def _empty_schema(wanted: dict[str, str]) -> str:
     fixed = (
         "participant_id string, signal string, side string, subject_id int, "
-        "src_subject_id string, device_position int, row_index bigint, day_absent boolean"
+        "src_subject_id string, device_position int"
     )
-    return fixed + "".join(f", `{n}` {t}" for n, t in wanted.items())
+    typed = "".join(f", `{n}` {t}" for n, t in wanted.items())
+    return "row_index bigint, day_absent boolean" + typed + ", " + fixed
 
 
 def head(rows: DataFrame, n: int, order: str = "row_index") -> DataFrame:

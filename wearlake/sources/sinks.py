@@ -12,12 +12,18 @@ from wearlake.schema import SERIES
 BOUNDED_ROWS = 2000
 
 
-def write_csv(rows: DataFrame, path: str, keys: Sequence[str] = SERIES) -> None:
+def write_csv(
+    rows: DataFrame, path: str, keys: Sequence[str] = SERIES, order: str = "row_index"
+) -> None:
     """CSV with header, blanks for nulls, one directory per series.
 
     The directory names carry the key, so the key columns are not repeated in the
-    data. Rows are written where they are: no shuffle, no single-file bottleneck.
+    data. Rows are written where they are: no shuffle, no single-file bottleneck. A
+    column ``order`` gives the row order within each file and is not written itself;
+    the writer sorts by the key anyway, so this is no further sort.
     """
+    if order in rows.columns:
+        rows = rows.sortWithinPartitions(*keys, order).drop(order)
     (
         rows.write.mode("overwrite")
         .partitionBy(*keys)
