@@ -83,9 +83,17 @@ def test_rounding_option_counts_sixteen_days(spark, study, opened):
 
 
 def test_older_layout_passes_columns_through(spark, study, opened):
-    rows = converted(spark, study, opened, age="passthrough", device="passthrough")["temp"]
-    assert "watch_device_type" not in rows.columns
-    assert rows.where("interview_age is not null or mt_pilot_vib_device is not null").count() == 0
+    subjects, births = plan.side_tables(spark, study.metadata, study.visits)
+    rows = recordings.scan(spark, opened.recordings, "eda")
+    rows = rows.withColumn("interview_age", F.lit(321)).withColumn("mt_pilot_vib_device", F.lit("own"))
+    options = {"age": "passthrough", "device": "passthrough", "small": True}
+    older = convert(rows, "eda", subjects, births, **options)
+    assert "watch_device_type" not in older.columns and older.columns[-1] == "eda_us"
+    kept = older.select("interview_age", "mt_pilot_vib_device").distinct().collect()
+    assert [tuple(r) for r in kept] == [(321, "own")]
+    oldest = convert(rows, "eda", subjects, births, sensors="temp", **options)
+    assert oldest.columns[-2:] == ["device_timestamp", "skin_temp"] and "eda_us" not in oldest.columns
+    assert oldest.where("skin_temp is not null").count() == 0
 
 
 def test_csv_holds_every_row(spark, study, opened, tmp_path):

@@ -13,7 +13,7 @@ from wearlake.functions.months import age_in_months
 from wearlake.functions.zones import zone_fields
 from wearlake.operators.keyed import attach, broadcastable
 from wearlake.operators.summary import bound_texts, series_summary
-from wearlake.schema import SENSORS, SERIES, output_columns
+from wearlake.schema import COMMON_OUTPUT, SENSORS, SERIES, output_columns
 
 
 def series_scalars(
@@ -58,13 +58,15 @@ def convert(
     rounding: str = "floor",
     age: str = "derive",
     device: str = "rules",
+    sensors: str = "by_signal",
     small: bool | None = None,
     keep_order: bool = False,
 ) -> DataFrame:
     """Archive columns of one signal, with the series key in front.
 
     ``age="passthrough"`` and ``device="passthrough"`` keep the columns the recording
-    brings, as older layouts do (those have no ``watch_device_type``). Samples are not
+    brings, as older layouts do (those have no ``watch_device_type``); the oldest one
+    has the skin temperature alone for every signal, ``sensors="temp"``. Samples are not
     shuffled: the scalars are broadcast if ``small``, which is measured if not given.
     ``keep_order`` adds the row order column after the key.
     """
@@ -84,6 +86,10 @@ def convert(
         **{out: F.col(source) for source, out in SENSORS[signal]},
     }
     columns = output_columns(signal)
+    if sensors == "temp":
+        columns = [*COMMON_OUTPUT, "skin_temp"]
+        temp = F.col("temp") if "temp" in rows.columns else F.lit(None).cast("double")
+        computed["skin_temp"] = temp
     if age == "passthrough":
         computed["interview_age"] = F.col("interview_age")
     if device == "passthrough":

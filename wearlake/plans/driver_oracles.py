@@ -379,6 +379,9 @@ ORACLES = {
     "convert_eda": f"WITH {converted('value AS eda_us')} SELECT * EXCLUDE (event_id) FROM conv",
     "convert_ibi": f"WITH {converted('value AS ibi', chronological)} SELECT * EXCLUDE (event_id) FROM conv",
     "convert_temp": f"WITH {converted('value AS skin_temp')} SELECT * EXCLUDE (event_id) FROM conv",
+    "convert_older_layout": f"""WITH {converted("value AS skin_temp, k")}
+        SELECT * EXCLUDE (event_id, k) REPLACE (CAST(k + 200 AS INTEGER) AS interview_age,
+          'watch ' || event_type AS mt_pilot_vib_device) FROM (SELECT * EXCLUDE (watch_device_type) FROM conv)""",
     "convert_eda_salted": f"WITH {converted('value AS eda_us')} SELECT * EXCLUDE (event_id) FROM conv",
     "conform_template": template(),
     "validate_dictionary": checks(),

@@ -341,6 +341,13 @@ def convert_temp(spark, sf_dir):
     return _convert(spark, sf_dir, "temp")
 
 
+@query
+def convert_older_layout(spark, sf_dir):
+    """Age and device as recorded, skin temperature for every signal."""
+    passed = {"age": "passthrough", "device": "passthrough", "sensors": "temp"}
+    return _convert(spark, sf_dir, "acc", **passed)
+
+
 @query
 def convert_eda_salted(spark, sf_dir):
     """The way taken when there are too many series to broadcast."""

@@ -58,6 +58,8 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("day_absent"),
         k.alias("k"),
         (k < 90).cast("int").alias("device_worn"),
+        (k + 200).alias("interview_age"),
+        F.concat(F.lit("watch "), "event_type").alias("mt_pilot_vib_device"),
         # sensor columns
         F.col("value").alias("x_g"),
         (-F.col("value")).alias("y_g"),
