@@ -2,4 +2,120 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": r"""
+WITH base AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+                    lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM base WHERE len(w) > 2)
+), twice AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
+), repeated AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) AS places(k) GROUP BY doc_id
+), counted AS (
+    SELECT base.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+        length(regexp_replace(text, '[^\p{Lu}]+', '', 'g')) AS capitals, len(lines) AS n_lines,
+        len(list_filter(w, lambda x: lower(x) IN (
+            'a', 'an', 'and', 'are', 'as', 'at', 'be', 'by', 'for', 'from', 'in', 'is', 'it', 'of',
+            'on', 'or', 'that', 'the', 'this', 'to', 'was', 'with',
+            'au', 'aux', 'avec', 'dans', 'de', 'des', 'du', 'en', 'et', 'la', 'le', 'les', 'par',
+            'pour', 'que', 'qui', 'sur', 'un', 'une',
+            'con', 'del', 'el', 'los', 'las', 'lo', 'no', 'para', 'por', 'se', 'su', 'y',
+            'auf', 'das', 'dem', 'den', 'der', 'die', 'ein', 'eine', 'ist', 'mit', 'nicht', 'sich',
+            'und', 'von', 'zu'))) AS stops
+    FROM base LEFT JOIN repeated ON base.doc_id IS NOT DISTINCT FROM repeated.doc_id
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND word_chars / n_words BETWEEN 2.5 AND 15 AND n_symbols / n_words <= 0.1
+        AND capitals / word_chars <= 0.4 AND stops / n_words >= 0.01
+        AND n_dup_lines / n_lines <= 0.3 AS kept
+FROM judged
+""",
+    "op7_line_dedup": r"""
+WITH cut AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+    FROM documents
+), bare AS (
+    SELECT doc_id, line_no, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM cut
+), counted AS (
+    SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM bare WHERE line <> ''
+), running AS (
+    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY line_no) AS done FROM counted
+), placed AS (
+    SELECT *, done - words AS begun FROM running
+), windows AS (
+    SELECT doc_id, min(line_no) OVER w AS low, max(line_no) OVER w AS high, sum(words) OVER w AS words,
+        string_agg(line, chr(10)) OVER w AS content
+    FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY begun RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+    UNION
+    SELECT doc_id, min(line_no) OVER w, max(line_no) OVER w, sum(words) OVER w, string_agg(line, chr(10)) OVER w
+    FROM placed WINDOW w AS (PARTITION BY doc_id ORDER BY done RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)
+), later AS (
+    SELECT doc_id, low, high FROM windows WHERE words >= 50
+    QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, low) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(low, high + 1)) AS line_no FROM later
+), remaining AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone.line_no IS NOT NULL) AS n_removed,
+        coalesce(string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) FILTER (gone.line_no IS NOT NULL), '') AS removed,
+        coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (gone.line_no IS NULL), '') AS text
+    FROM cut LEFT JOIN gone USING (doc_id, line_no) GROUP BY doc_id
+)
+SELECT doc_id, n_lines, n_removed, removed, sha256(text) AS kept_sha256 FROM remaining
+""",
+    "op8_url_lists": r"""
+WITH captures AS (
+    SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id * 37 % 365 AS INTEGER) AS DATE) AS fetched,
+        lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#@]*@)?([^/?#:]*)', 2)) AS host,
+        string_split(lower(regexp_extract(url, '^[^:]*://[^/?#]*/([^?#]*)', 1)), '/') AS path
+    FROM pages
+), hosts AS (
+    SELECT host, min(page_id) AS first FROM captures WHERE host <> '' GROUP BY host
+), entries AS (
+    SELECT host AS pattern, 'hosts' AS list, 'add' AS action, first % 300 AS day FROM hosts WHERE first % 3 = 0
+    UNION ALL SELECT host, 'hosts', 'remove', first % 300 + 30 FROM hosts WHERE first % 6 = 0
+    UNION ALL SELECT host, 'hosts', 'add', first % 300 + 90 FROM hosts WHERE first % 12 = 0
+    UNION ALL SELECT host || '/en', 'sections', 'add', first % 200 FROM hosts WHERE first % 5 = 0
+    UNION ALL SELECT host || '/en', 'sections', 'remove', first % 200 + 100 FROM hosts WHERE first % 10 = 0
+    UNION ALL SELECT host[strpos(host, '.') + 1:], 'domains', 'add', first % 100 FROM hosts
+        WHERE first % 7 = 0 AND len(string_split(host, '.')) > 3
+), active AS (
+    SELECT c.page_id, e.list || ':' || e.pattern AS hit
+    FROM captures c JOIN entries e
+        ON (c.host = e.pattern OR ends_with(c.host, '.' || e.pattern)
+            OR (e.pattern = c.host || '/en' AND len(list_filter(c.path, lambda x: x <> '')) > 0
+                AND list_filter(c.path, lambda x: x <> '')[1] = 'en'))
+        AND DATE '2024-01-01' + CAST(e.day AS INTEGER) <= c.fetched
+    GROUP BY c.page_id, e.list, e.pattern
+    HAVING max_by(e.action, (e.day, e.action)) = 'add'
+), hits AS (
+    SELECT page_id, string_agg(hit, ',' ORDER BY hit) AS hits FROM active GROUP BY page_id
+)
+SELECT page_id, fetched, coalesce(hits, '') AS hits, hits IS NOT NULL AS blocked
+FROM captures LEFT JOIN hits USING (page_id)
+""",
+    "op9_chat": r"""
+WITH told AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok'
+    FROM range(2) AS both_rows(n)
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+    CAST(sum(length('<|im_start|>' || role || chr(10)
+        || regexp_replace(text, '<(\|+)', '<|\1', 'g') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM told GROUP BY conv_id
+""",
+}
