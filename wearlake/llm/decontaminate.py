@@ -104,8 +104,8 @@ def _slots(texts: DataFrame, key: str) -> DataFrame:
     # The n-th token of a type stands for the n-th value of that type.
     kinds = [(NUMBER, "numbers"), (UNIT, "units"), (NAME, "names")]
     zipped = [
-        f"transform(arrays_zip(filter(transform(tokens, (x, i) -> CASE WHEN x = '{kind}' THEN i END), p -> p IS NOT NULL) AS at,"
-        f" {values} AS value), z -> named_struct('at', z.at, 'kind', '{kind}', 'value', z.value))"
+        f"transform(arrays_zip(filter(transform(tokens, (x, i) -> CASE WHEN x = '{kind}' THEN i END), p -> p IS NOT NULL),"
+        f" {values}), z -> named_struct('at', z.`0`, 'kind', '{kind}', 'value', z.{values}))"
         for kind, values in kinds
     ]
     return found.select(key, F.explode(F.expr(f"concat({', '.join(zipped)})")).alias("s")).select(key, "s.*")
