@@ -149,7 +149,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     checked = values.groupBy("doc_id", "item_id").agg(
         F.count("*").alias("n_slots"),
-        F.count_if("changed").alias("n_changed"),
+        F.count_if(F.col("changed")).alias("n_changed"),
         F.avg((F.col("meanings") == 1).cast("int")).alias("consistent"),
     )
     verdict = (

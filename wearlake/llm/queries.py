@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearlake.llm import bpe, chat, decontaminate, line_dedup, minhash, quality_model, quality_rules, url_lists
+from wearlake.llm import bpe, chat, decontaminate, language_model, line_dedup, minhash, quality_model, quality_rules, url_lists
 from wearlake.llm.common import kept, table
 
 
@@ -38,6 +38,15 @@ def _remainder(parts: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
 
+def op2_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text scored by a model of nine tenths of the documents."""
+    held_out = F.coalesce(_remainder(10) == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", held_out.alias("held_out"), (~held_out).alias("training")
+    )
+    return language_model.score(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("training")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -175,6 +184,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_subword_lattice": op2_subword_lattice,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op6_quality_model": op6_quality_model,
