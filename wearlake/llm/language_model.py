@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from wearlake.llm.common import fresh, kept, small_batches
 
 HOT_WORDS = 100_000
-ROUNDS = 2
+ROUNDS = 3
 # How many pieces the prior is worth, and the rank at which Zipf's law bends.
 PRIOR_PIECES = 2000.0
 ZIPF_OFFSET = 10.0
 # A task writes its counts out when it holds this many words.
 HELD_WORDS = 400_000
+# Longer words are walked character by character instead of as a table of all pieces.
+LONG_WORD = 256
 SMOOTHING = 0.1
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -100,18 +102,22 @@ class Pieces:
         spelled = np.zeros((len(words), n), np.int32)
         heads, inners = self.heads.get, self.inners.get
         width = inner.shape[2]
-        for w, word in enumerate(words):
-            head[w, : min(n, longest) + 1] = [heads(word[:e], -1) for e in range(min(n, longest) + 1)]
-            flat = [inners(word[s : s + k], -1) if s + k <= n else -1 for s in range(n) for k in range(1, width + 1)]
-            inner[w] = np.array(flat, np.int32).reshape(n, width)
-            for s in np.nonzero(inner[w, :, 0] < 0)[0]:
-                spelled[w, s] = len(word[s].encode("utf-8", "surrogatepass"))
+        ends = range(min(n, longest) + 1)
+        head[:, : len(ends)] = np.array([heads(word[:e], -1) for word in words for e in ends]).reshape(-1, len(ends))
+        spans = [(s, e) for s in range(n) for e in range(s + 1, min(n, s + width) + 1)]
+        if spans:
+            places = np.array(spans)
+            found = np.array([inners(word[s:e], -1) for word in words for s, e in spans], np.int32)
+            inner[:, places[:, 0], places[:, 1] - places[:, 0] - 1] = found.reshape(len(words), -1)
+            for w, s in zip(*np.nonzero(inner[:, :, 0] < 0)):
+                spelled[w, s] = len(words[w][s].encode("utf-8", "surrogatepass"))
         return head, inner, spelled
 
     def _weights(self, inner: np.ndarray, spelled: np.ndarray) -> np.ndarray:
         found = self.log[inner]
         byte = self.log[self.byte] - math.log(256)
-        found[:, :, 0] = np.where(spelled > 0, spelled * byte, found[:, :, 0])
+        if found.shape[2]:
+            found[:, :, 0] = np.where(spelled > 0, spelled * byte, found[:, :, 0])
         return found
 
     def forward(self, head: np.ndarray, edge: np.ndarray) -> np.ndarray:
@@ -135,13 +141,53 @@ class Pieces:
             beta[:, s] = np.logaddexp.reduce(ways, axis=0)
         return beta
 
+    def _ways(self, word: str, e: int) -> Iterator[tuple[int, int, float]]:
+        """Pieces inside a word that end before place e: characters, piece, log weight."""
+        for k in range(1, min(e, self.longest) + 1):
+            piece = self.inners.get(word[e - k : e], -1)
+            if piece >= 0:
+                yield k, piece, float(self.log[piece])
+            elif k == 1:
+                size = len(word[e - 1].encode("utf-8", "surrogatepass"))
+                yield k, -size, size * (float(self.log[self.byte]) - math.log(256))
+
+    def _walk(self, word: str) -> np.ndarray:
+        alpha = np.full(len(word) + 1, -np.inf)
+        for e in range(len(word) + 1):
+            first = self.log[self.heads.get(word[:e], -1)] if e <= self.longest else -np.inf
+            alpha[e] = np.logaddexp.reduce([first, *(alpha[e - k] + w for k, _, w in self._ways(word, e))])
+        return alpha
+
+    def _expect_long(self, word: str, times: float, into: np.ndarray) -> None:
+        alpha = self._walk(word)
+        # The share of each place that leads to the end, carried from right to left.
+        share = np.zeros(len(word) + 1)
+        share[-1] = times
+        for e in range(len(word), -1, -1):
+            for k, piece, weight in self._ways(word, e):
+                part = share[e] * math.exp(alpha[e - k] + weight - alpha[e])
+                share[e - k] += part
+                if piece >= 0:
+                    into[piece] += part
+                else:
+                    into[self.byte] -= part * piece
+            head = self.heads.get(word[:e], -1) if e <= self.longest else -1
+            if head >= 0:
+                into[head] += share[e] * math.exp(self.log[head] - alpha[e])
+
     def likelihood(self, words: list[str]) -> np.ndarray:
         """Natural log of the marginal probability of words of one length."""
+        if len(words[0]) > LONG_WORD:
+            return np.array([self._walk(word)[-1] for word in words])
         head, inner, spelled = self.edges(words)
         return self.forward(head, self._weights(inner, spelled))[:, -1]
 
     def expect(self, words: list[str], times: np.ndarray, into: np.ndarray) -> None:
         """Add the expected piece counts of words of one length, each so many times."""
+        if len(words[0]) > LONG_WORD:
+            for word, n in zip(words, times):
+                self._expect_long(word, float(n), into)
+            return
         head, inner, spelled = self.edges(words)
         edge = self._weights(inner, spelled)
         alpha, beta = self.forward(head, edge), self.backward(edge)

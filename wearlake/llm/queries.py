@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearlake.llm import bpe, chat, decontaminate, language_model, line_dedup, minhash, quality_model, quality_rules, url_lists
+from wearlake.llm import bpe, chat, decontaminate, language_model, line_dedup, minhash, quality_model, quality_rules, suffix_dedup, url_lists
 from wearlake.llm.common import kept, table
 
 
@@ -54,6 +54,19 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_shared", "n_windows", "n_slots", "n_changed", "consistent", "verdict")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without bytes of strings that occur elsewhere."""
+    cut = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept_bytes", 256).alias("kept_sha256"),
+    )
+
+
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text, learned from labels of two thirds of the documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -187,6 +200,7 @@ QUERIES = {
     "op2_subword_lattice": op2_subword_lattice,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality_model": op6_quality_model,
     "op7_line_dedup": op7_line_dedup,
     "op8_url_lists": op8_url_lists,
