@@ -11,18 +11,18 @@ from wearlake.llm.common import kept
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the least of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
+    # Written, so that Spark can split the rows of a busy node in the join.
+    least = kept(both.groupBy("a").agg(F.min("b").alias("least")))
     tied = both.where("b > a").join(least, "a")
-    return tied.select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return tied.select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the least of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("least"))
+    least = kept(edges.groupBy("a").agg(F.min("b").alias("least")))
     own = least.select("a", F.col("least").alias("b"))
-    others = down.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return own.unionByName(others)
+    others = edges.join(least, "a").where("b <> least")
+    return own.unionByName(others.select(F.col("b").alias("a"), F.col("least").alias("b")))
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -43,7 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
     current = kept(clean.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _state(current)
     while True:
-        current = kept(_small_star(_large_star(current).distinct()).distinct())
+        # Edges point down: the first end is the larger one after either step.
+        current = kept(_small_star(kept(_large_star(current).distinct())).distinct())
         after = _state(current)
         if after == before:
             break

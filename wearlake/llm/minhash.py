@@ -143,7 +143,10 @@ class _Search:
         self.percent, self.size = percent, size
         self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         self.sketches = classes.select("doc_id", "n_shingles", "sketch")
-        self.members = classes.select("doc_id", F.explode("buckets").alias("bucket"))
+        # Most buckets hold one document; those are of no more use.
+        every = classes.select("doc_id", F.explode("buckets").alias("bucket"))
+        shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+        self.members = kept(every.join(kept(shared), "bucket", "left_semi"))
         self.links: DataFrame | None = None
         self.asked: DataFrame | None = None
 
@@ -165,7 +168,8 @@ class _Search:
         placed = self.members.join(parts, F.col("doc_id") == F.col("node"), "left").select(
             "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
         )
-        split = (
+        placed = kept(placed)
+        split = kept(
             placed.groupBy("bucket")
             .agg(F.min("component").alias("low"), F.max("component").alias("high"))
             .where("low <> high")
@@ -176,7 +180,9 @@ class _Search:
 
 def _around_centre(members: DataFrame, centre: str) -> DataFrame:
     """Each member paired with the centre of its bucket."""
-    centres = members.groupBy("bucket").agg(F.expr(centre).alias("b"), F.count("*").alias("n")).where("n > 1")
+    counted = members.groupBy("bucket").agg(F.expr(centre).alias("b"), F.count("*").alias("n"))
+    # Written, so that Spark can split the members of a busy bucket in the join.
+    centres = kept(counted.where("n > 1").select("bucket", "b"))
     return members.join(centres, "bucket").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
 
 
@@ -208,6 +214,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
     first = sets.groupBy("n_shingles", "low", "high").agg(
         F.min_by(F.struct("doc_id", "buckets", "sketch"), "doc_id").alias("one")
     )
+    first = kept(first)
     classes = first.select("n_shingles", "low", "high", "one.*")
     between = links(docs, classes, percent, size)
     copies = sets.join(
