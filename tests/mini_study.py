@@ -24,10 +24,10 @@ F,1234,NDARAA001234,
 """
 
 VISITS = """subjectkey,src_subject_id,interview_date,interview_age,sex
-NDARAA000001,001--1,2020-01-28,294,F
-NDARAA000001,001--1,2020-02-04,294,F
-NDARAA000001,001--1,2020-03-31,296,F
-NDARAA000001,001--1,2020-02-11,,F
+NDARAA000001,001--1,2021-06-14,310,F
+NDARAA000001,001--1,2021-07-31,312,F
+NDARAA000001,001--1,2021-10-09,314,F
+NDARAA000001,001--1,2021-08-02,,F
 NDARAA000002,002--1,2020-02-29,240,M
 NDARAA000002,002--1,2020-03-31,241,M
 NDARAA000002,002--1,2020-05-31,240,M
@@ -140,8 +140,8 @@ def build(base: Path) -> MiniStudy:
 # ---- expected output, one recording at a time -------------------------------------
 
 BIRTHS = {
-    # 1: 294 and 294 and 296 months before -> 1995-07-28, 1995-08-04, 1995-07-31
-    1: pd.Timestamp("1995-07-31"),
+    # 1: 310 and 312 and 314 months before -> 1995-08-14, 1995-07-31, 1995-08-09
+    1: pd.Timestamp("1995-08-09"),
     # 2: 2000-02-29, 2000-02-29 (clipped), 2000-05-31
     2: pd.Timestamp("2000-02-29"),
     84: pd.Timestamp("1995-03-01"),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wearlake.operators import contract
-from wearlake.operators.audit import column_listing
+from wearlake.operators.audit import audit, column_listing
 from wearlake.schema import SIGNALS, output_columns, template_columns
 from wearlake.sources import files, recordings, sinks, tables
 
@@ -72,7 +72,7 @@ def test_column_listing_of_files(spark, study):
 
 def test_bounded_copy(spark, tmp_path):
     pd.DataFrame({"v": range(3000), "w": None}).to_parquet(tmp_path / "x.parquet")
-    sinks.copy_parquet_to_csv(spark, str(tmp_path / "x.parquet"), str(tmp_path / "out"))
+    sinks.copy_parquet_to_csv(spark, str(tmp_path / "x.parquet"), str(tmp_path / "out"), 2000)
     read = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert sorted(int(r.v) for r in read.collect()) == list(range(2000))
     sinks.copy_parquet_to_csv(spark, str(tmp_path / "x.parquet"), str(tmp_path / "few"), 7)
@@ -80,7 +80,7 @@ def test_bounded_copy(spark, tmp_path):
 
 
 def test_single_level_listing(spark, study):
-    found = files.single_level(spark, f"{study.base}/SP2", "*.parquet").collect()
+    found = files.single_level(spark, f"{study.base}/SP2", "%.parquet").collect()
     assert sorted(r.file_name for r in found) == [f"SP2_e4_{s}_left.parquet" for s in SIGNALS]
 
 
@@ -152,3 +152,55 @@ def test_dictionary_file_with_required_column(spark, tmp_path):
     found = contract.validate(df, ["series"], dictionary=elements)
     bad = {(r.column, r.rule): r.bad_rows for r in found.collect() if r.bad_rows}
     assert bad == {("sex", "required"): 1, ("score", "range"): 1}
+
+
+def test_names_with_signs_and_empty_files(spark, tmp_path):
+    for name in ("a%20b c+d.parquet", "100%.parquet"):
+        pd.DataFrame({"v": [1, 2]}).to_parquet(tmp_path / name)
+    (tmp_path / "none.parquet").touch()
+    base = str(tmp_path)
+    found = audit(spark, files.with_footers(files.single_level(spark, base, "%.parquet"), base)).collect()
+    assert {r.file_name: (r.ok, r.problem) for r in found} == {
+        "a%20b c+d.parquet": (True, None),
+        "100%.parquet": (True, None),
+        "none.parquet": (False, "empty"),
+    }
+
+
+def test_row_numbers_survive_other_splits(spark, tmp_path):
+    pd.DataFrame({"v": range(20_000)}).to_csv(tmp_path / "x.csv", index=False)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        read = tables.read_any(spark, str(tmp_path / "x.csv"))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7k")
+        rows = read.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((int(r.v), r.row_index) for r in rows) == [(i, i) for i in range(20_000)]
+
+
+def test_csv_keeps_texts(spark, tmp_path):
+    texts = ["  pad ", 'q"uo', "a\nb", "back\\slash", "1,2"]
+    frame = pd.DataFrame({"id": range(5), "text": texts, "when": pd.Timestamp("2024-01-02 03:04:05.123456")})
+    frame["nanos"] = pd.to_datetime(frame["when"]).astype("datetime64[ns]")
+    frame.to_parquet(tmp_path / "x.parquet", coerce_timestamps=None)
+    sinks.copy_parquet_to_csv(spark, str(tmp_path / "x.parquet"), str(tmp_path / "out"), -1)
+    part = next((tmp_path / "out").glob("part-*"))
+    read = pd.read_csv(part)
+    assert read["text"].tolist() == texts
+    assert set(read["when"].str[:26]) == {"2024-01-02 03:04:05.123456"}
+    assert set(read["nanos"].astype(str).str[:26]) == {"2024-01-02 03:04:05.123456"}
+
+
+def test_side_tables_as_found(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("src_subject_id,subjectkey,sex\n1.0,K1,F\n 2,K2,M\nx,K3,F\n")
+    (tmp_path / "v.csv").write_text(
+        "src_subject_id,interview_date,interview_age\n001--1,01/28/2020,NaN\n001--1,2020-01-28,300.0\n001--1,?,12\n"
+    )
+    found = tables.read_metadata(spark, str(tmp_path / "m.csv")).collect()
+    assert [(r.src_subject_id, r.subjectkey) for r in found] == [(1, "K1"), (2, "K2"), (None, "K3")]
+    visits = tables.read_visits(spark, str(tmp_path / "v.csv")).collect()
+    assert [(str(r.interview_date), r.interview_age) for r in visits] == [
+        ("2020-01-28", None), ("2020-01-28", 300), ("None", 12),
+    ]

@@ -244,3 +244,21 @@ def test_first_metadata_row_counts(spark, study):
 
     found = first_per_subject(tables.read_metadata(spark, study.metadata), "row_index")
     assert {r.subject_id: (r.subjectkey, r.sex) for r in found.collect()} == mini_study.SUBJECTS
+
+
+def report_of(spark, base):
+    found = plan.open_study(spark, base)
+    checked = {(r.file_name, r.ok, r.problem) for r in found.audit.collect()}
+    return checked, {r.file_name for r in found.recordings.collect()}
+
+
+def test_path_spellings_agree(spark, study):
+    plain = report_of(spark, study.base)
+    assert plain == report_of(spark, "file://" + study.base) == report_of(spark, "file:" + study.base + "/")
+    assert any(ok for _, ok, _ in plain[0]) and plain[1]
+
+
+def test_large_participant_number(spark, tmp_path):
+    (tmp_path / "SP3000000000").mkdir()
+    listed = files.list_files(spark, str(tmp_path))
+    assert [r.subject_id for r in files.participants(listed).collect()] == [3_000_000_000]

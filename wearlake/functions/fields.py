@@ -10,6 +10,7 @@ from wearlake.schema import DEVICE_RULES
 # fixed values: the archive's text formats
 DATE_FORMAT = "MM/dd/yyyy"
 TIME_FORMAT = "HH:mm"
+ISO_MOMENT = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.]\d+)?)?\s*(Z|UTC|[+-]\d{2}(:?\d{2})?)?)?\s*$"
 DEVICE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -46,8 +47,11 @@ def study_day_number(day_of_study: Column, day_absent: Column) -> Column:
 
 
 def parse_moment(text: Column) -> Column:
-    """ISO-8601 text with any number of fraction digits; null if it is none."""
-    return text.try_cast("timestamp")
+    """ISO-8601 text with any number of fraction digits; null if it is none.
+
+    A date is needed: a bare time, which Spark would place on the current day, is none.
+    """
+    return F.when(text.rlike(ISO_MOMENT), text.try_cast("timestamp"))
 
 
 def padded_number(number: Column) -> Column:

@@ -22,7 +22,7 @@ def raw_subject(path: Column) -> Column:
 
 
 def subject_number(path: Column) -> Column:
-    return raw_subject(path).try_cast("int")
+    return raw_subject(path).try_cast("bigint")
 
 
 def padded_subject(path: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.session import prepare
-from wearlake.sources.files import paths_by_layout, plain_path
+from wearlake.sources.files import paths_by_layout, scanned_path
 
 
 def audit(spark: SparkSession, checked: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def audit(spark: SparkSession, checked: DataFrame) -> DataFrame:
             "content_hash", F.lit(None).cast("bigint")
         )
     else:
-        scanned = scanned.withColumn("path", plain_path(F.col("_uri")))
+        scanned = scanned.withColumn("path", scanned_path(F.col("_uri")))
         report = report.join(scanned.drop("_uri"), "path", "left")
     n_scanned = F.when(F.col("readable"), F.coalesce(F.col("n_scanned"), F.lit(0)))
     return (

@@ -7,14 +7,13 @@ only per-chunk or per-series totals meet in one place.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.session import scratch_dir
+from wearlake.session import scratch_dir, scratch_path
 
 CHUNK_ROWS = 1_000_000
 
@@ -38,7 +37,7 @@ def stored(df: DataFrame) -> DataFrame:
 
     For rows that several passes need: each pass then reads only its own columns.
     """
-    path = f"{scratch_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -22,9 +22,18 @@ def micros(moment):
 
 
 def signal_summary(
-    rows: DataFrame, keys: Sequence[str], value: str, local: str, order: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    local: str,
+    order: str,
+    n_columns: int | None = None,
 ) -> DataFrame:
-    """Counts, time extent and moments of one signal, in one pass."""
+    """Counts, time extent and moments of one signal, in one pass.
+
+    ``n_columns`` is the number of columns of the recording, where ``rows`` is only part
+    of it.
+    """
     return (
         rows.groupBy(*keys)
         .agg(
@@ -38,7 +47,7 @@ def signal_summary(
             F.min(value).alias("min"),
             F.max(value).alias("max"),
         )
-        .withColumn("n_columns", F.lit(len(rows.columns)))
+        .withColumn("n_columns", F.lit(len(rows.columns) if n_columns is None else n_columns))
         .withColumn(
             "duration_s", (micros(F.col("max_local")) - micros(F.col("min_local"))) / F.lit(1e6)
         )
@@ -144,16 +153,26 @@ def histogram(
         )
     )
     samples = rows.select(*keys, value, spread).where(F.col(value).isNotNull())
-    bucket = F.width_bucket(F.col(value).cast("double"), "lo", "hi", F.lit(bins))
-    filled = attach(samples, limits, keys, [spread], broadcastable(rows, keys)).select(
-        *keys, "lo", "hi", (F.least(bucket, F.lit(bins)) - 1).alias("bin"), F.lit(1).alias("_n")
+    x = F.col(value).cast("double")
+    width = (F.col("hi") - F.col("lo")) / bins
+    # The quotient may be off by one at an edge; the edges themselves decide.
+    near = F.least(F.width_bucket(x, "lo", "hi", F.lit(bins)), F.lit(bins)) - 1
+    guess = F.col("_near")
+    bin_of = (
+        F.when(x < F.col("lo") + width * guess, guess - 1)
+        .when((x >= F.col("lo") + width * (guess + 1)) & (guess < bins - 1), guess + 1)
+        .otherwise(guess)
+    )
+    filled = (
+        attach(samples, limits, keys, [spread], broadcastable(rows, keys))
+        .withColumn("_near", near)
+        .select(*keys, "lo", "hi", bin_of.alias("bin"), F.lit(1).alias("_n"))
     )
     empty = limits.select(
         *keys, "lo", "hi",
         F.explode(F.expr(f"sequence(0L, {bins - 1}L)")).alias("bin"),
         F.lit(0).alias("_n"),
     )
-    width = (F.col("hi") - F.col("lo")) / bins
     return (
         filled.unionByName(empty)
         .groupBy(*keys, "lo", "hi", "bin")
@@ -162,7 +181,9 @@ def histogram(
             *keys,
             F.col("bin").cast("int").alias("bin"),
             (F.col("lo") + width * F.col("bin")).alias("bin_lo"),
-            (F.col("lo") + width * (F.col("bin") + 1)).alias("bin_hi"),
+            F.when(F.col("bin") == bins - 1, F.col("hi"))
+            .otherwise(F.col("lo") + width * (F.col("bin") + 1))
+            .alias("bin_hi"),
             "n",
         )
     )

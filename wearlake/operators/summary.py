@@ -113,12 +113,24 @@ def bound_texts(first, last) -> list:
     ]
 
 
-def run_report(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per recording and, with null keys, for the whole run."""
-    per_series = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    total = per_series.agg(
-        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")
+def run_report(
+    rows: DataFrame, keys: Sequence[str], failed: DataFrame | None = None
+) -> DataFrame:
+    """Rows per recording and, with null keys, for the whole run.
+
+    ``failed`` has the keys of recordings that gave no output; they show no rows.
+    """
+    done = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "*", F.lit(1).cast("long").alias("n_files"), F.lit(0).cast("long").alias("n_failures")
     )
-    return per_series.withColumn("n_files", F.lit(1).cast("long")).unionByName(
-        total, allowMissingColumns=True
+    if failed is not None:
+        none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        done = done.unionByName(
+            failed.select(*keys).distinct().select(
+                *keys, none.alias("n_rows"), none.alias("n_files"), one.alias("n_failures")
+            )
+        )
+    total = done.agg(
+        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("n_rows", "n_files", "n_failures"))
     )
+    return done.unionByName(total, allowMissingColumns=True)

@@ -91,7 +91,7 @@ graded AS (
 
 SUBJECTS = """
 subjects AS (
-  SELECT CAST(floor(s_suppkey / 2) AS INTEGER) AS subject_id, arg_min(s_name, s_suppkey) AS subjectkey,
+  SELECT CAST(floor(s_suppkey / 2) AS BIGINT) AS subject_id, arg_min(s_name, s_suppkey) AS subjectkey,
          arg_min(CASE WHEN s_nationkey % 2 = 0 THEN 'F' ELSE 'M' END, s_suppkey) AS sex
   FROM supplier GROUP BY 1
 )"""
@@ -279,6 +279,21 @@ PARTICIPANTS = """WITH p AS (
   FROM (SELECT DISTINCT user_id FROM events)
 )"""
 
+def histogram(table: str, key: str, value: str) -> str:
+    """Counted by the edges themselves: first bin whose upper edge lies beyond."""
+    edge = "lo + (hi - lo) / 30 * {}"
+    return f"""WITH l AS (SELECT {key}, min({value}) AS lo, max({value}) AS hi FROM {table} GROUP BY 1),
+        e AS (SELECT {key}, CAST(g.bin AS INTEGER) AS bin, {edge.format("g.bin")} AS bin_lo,
+                     CASE WHEN g.bin = 29 THEN hi ELSE {edge.format("(g.bin + 1)")} END AS bin_hi
+              FROM l CROSS JOIN (SELECT unnest(range(30)) AS bin) g),
+        v AS (SELECT {key}, {value} AS x, count(*) AS n FROM {table} GROUP BY ALL)
+        SELECT {key}, bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, CAST(coalesce(sum(n), 0) AS BIGINT) AS n
+        FROM e LEFT JOIN v USING ({key})
+        WHERE FALSE OR TRUE
+        GROUP BY {key}, bin, e.bin_lo, e.bin_hi
+        """.replace("coalesce(sum(n), 0)", "coalesce(sum(n) FILTER (x >= e.bin_lo AND (x < e.bin_hi OR (bin = 29 AND x = e.bin_hi))), 0)").replace("        WHERE FALSE OR TRUE\n", "")
+
+
 ORACLES = {
     "device_wear_days": f"WITH {REC}, {WORN_DAYS} SELECT * FROM worn_days",
     "series_length": f"WITH {REC}, {BOUNDS} SELECT user_id, event_type, length_per FROM bounds",
@@ -292,9 +307,13 @@ ORACLES = {
         SELECT user_id, event_type, length_per, length_per AS max_devdays, actual_devdays,
                first_utc, last_utc, zone, n_rows
         FROM bounds JOIN worn_days USING (user_id, event_type)""",
-    "run_report": """WITH s AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)
-        SELECT user_id, event_type, CAST(n AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS n_files FROM s
-        UNION ALL SELECT NULL, NULL, CAST(sum(n) AS BIGINT), CAST(count(*) AS BIGINT) FROM s""",
+    "run_report": """WITH s AS (SELECT user_id, event_type,
+              CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS n,
+              CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS bad FROM events GROUP BY user_id, event_type)
+        SELECT user_id, event_type, CAST(n AS BIGINT) AS n_rows, CAST(1 - bad AS BIGINT) AS n_files,
+          CAST(bad AS BIGINT) AS n_failures FROM s
+        UNION ALL SELECT NULL, NULL, CAST(sum(n) AS BIGINT), CAST(sum(1 - bad) AS BIGINT),
+          CAST(sum(bad) AS BIGINT) FROM s""",
     "completeness": complete("true"),
     "completeness_left": complete("side = 'left'"),
     "text_fields": f"""WITH {REC} SELECT event_id, strftime(local, '%m/%d/%Y') AS interview_date,
@@ -311,7 +330,7 @@ ORACLES = {
         SELECT event_id, 'SP' || raw AS participant_id,
           CASE WHEN len(tok) >= 4 THEN tok[3] || '_' || replace(tok[4], '.parquet', '') ELSE 'unknown' END
             AS data_type,
-          lpad(raw, CAST(greatest(3, length(raw)) AS INTEGER), '0') AS padded, CAST(raw AS INTEGER) AS subject_id,
+          lpad(raw, CAST(greatest(3, length(raw)) AS INTEGER), '0') AS padded, CAST(raw AS BIGINT) AS subject_id,
           CAST(CASE WHEN contains(lower(name), 'left') THEN 0 WHEN contains(lower(name), 'right') THEN 1 END
             AS INTEGER) AS device_position,
           len(tok) = 4 AND tok[3] <> 'bvp' AS is_recording,
@@ -343,7 +362,7 @@ ORACLES = {
                WHEN deviation IS NOT NULL THEN 'bad' END AS grade
         FROM graded""",
     "subject_metadata": f"""WITH {REC}, {SUBJECTS},
-        users AS (SELECT DISTINCT CAST(user_id AS INTEGER) AS subject_id, padded AS src_subject_id FROM rec)
+        users AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS subject_id, padded AS src_subject_id FROM rec)
         SELECT subject_id, src_subject_id, subjectkey, sex, {DEVICE} AS device
         FROM users LEFT JOIN subjects USING (subject_id)""",
     "zone_dimension": f"""WITH {REC}, {BOUNDS} SELECT user_id, event_type, zone AS timezone,
@@ -373,8 +392,23 @@ ORACLES = {
         CAST(count(*) AS BIGINT) AS n_scanned, true AS ok, CAST(NULL AS VARCHAR) AS problem FROM {name}"""
         for name in TABLES
     ),
+    "csv_texts": "SELECT doc_id, nullif(text, '') AS text, lang FROM documents",
+    "metadata_csv": f"""WITH {REC}, {SUBJECTS},
+        users AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS subject_id FROM rec)
+        SELECT subject_id, subjectkey, sex FROM users JOIN subjects USING (subject_id)""",
+    "visits_csv": f"WITH {VISITS}, {BIRTHS} SELECT * FROM births",
+    "csv_rows": """SELECT event_type, CAST(r AS BIGINT) AS row_index, event_id, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS r,
+               count(*) OVER (PARTITION BY event_type) AS n FROM events)
+        WHERE r BETWEEN 25 AND 74 OR r >= n - 10""",
+    "file_audit_damaged": """SELECT v AS file_name, CASE v WHEN 'good 100%+.parquet' THEN n END AS n_rows,
+          CASE v WHEN 'good 100%+.parquet' THEN n END AS n_scanned, v = 'good 100%+.parquet' AS ok,
+          CASE v WHEN 'empty.parquet' THEN 'empty' WHEN 'text.parquet' THEN 'unreadable' END AS problem
+        FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM nation),
+             (VALUES ('good 100%+.parquet'), ('empty.parquet'), ('text.parquet')) AS files(v)""",
     "csv_round_trip": "SELECT event_id, user_id, value, ts, event_type FROM events",
-    "parquet_to_csv": "SELECT * FROM customer ORDER BY c_custkey LIMIT 2000",
+    "parquet_to_csv": "SELECT * FROM customer ORDER BY c_custkey LIMIT 1000",
+    "parquet_to_csv_whole": "SELECT event_id, ts, user_id, event_type, value FROM events",
     "convert_acc": f"WITH {converted(ACC)} SELECT * EXCLUDE (event_id) FROM conv",
     "convert_eda": f"WITH {converted('value AS eda_us')} SELECT * EXCLUDE (event_id) FROM conv",
     "convert_ibi": f"WITH {converted('value AS ibi', chronological)} SELECT * EXCLUDE (event_id) FROM conv",
@@ -389,7 +423,7 @@ ORACLES = {
         min(local) AS min_local, max(local) AS max_local,
         arg_min(local, event_id) AS first_local, arg_max(local, event_id) AS last_local,
         round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
-        round(min(value), 6) AS min, round(max(value), 6) AS max, CAST(5 AS INTEGER) AS n_columns,
+        round(min(value), 6) AS min, round(max(value), 6) AS max, CAST((SELECT count(*) FROM information_schema.columns WHERE table_name = 'events') AS INTEGER) AS n_columns,
         round((epoch_us(max(local)) - epoch_us(min(local))) / 1e6, 6) AS duration_s,
         round((epoch_us(arg_max(local, event_id)) - epoch_us(arg_min(local, event_id))) / 1e6, 6) AS extent_s,
         round(max(value) - min(value), 6) AS range
@@ -406,13 +440,8 @@ ORACLES = {
         round(quantile_cont(l_extendedprice, 0.5), 6) AS p50,
         round(quantile_cont(l_extendedprice, 0.99), 6) AS p99
         FROM lineitem GROUP BY l_returnflag""",
-    "histogram30": """WITH l AS (SELECT event_type, min(value) AS lo, max(value) AS hi FROM events GROUP BY 1),
-        b AS (SELECT e.event_type, least(floor((value - lo) / ((hi - lo) / 30)), 29) AS bin, count(*) AS n
-              FROM events e JOIN l USING (event_type) GROUP BY ALL)
-        SELECT l.event_type, CAST(g.bin AS INTEGER) AS bin, round(lo + (hi - lo) / 30 * g.bin, 6) AS bin_lo,
-               round(lo + (hi - lo) / 30 * (g.bin + 1), 6) AS bin_hi, CAST(coalesce(n, 0) AS BIGINT) AS n
-        FROM l CROSS JOIN (SELECT unnest(range(30)) AS bin) g
-        LEFT JOIN b ON b.event_type = l.event_type AND b.bin = g.bin""",
+    "histogram30": histogram("events", "event_type", "value"),
+    "histogram_edges": histogram("lineitem", "l_returnflag", "l_discount"),
     "box_stats": f"""WITH {QUARTILES},
         x AS (SELECT event_type, q1, median, q3, value,
                      value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside

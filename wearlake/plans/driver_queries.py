@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +12,12 @@ from wearlake.functions.months import chronological_months, completed_months
 from wearlake.functions.zones import zone_fields
 from wearlake.operators import births, contract, lookup, quantiles, rolling, signal_stats, summary
 from wearlake.operators.audit import audit
-from wearlake.operators.keyed import positions, stored
+from wearlake.operators.keyed import materialise, positions, stored
 from wearlake.plans import convert as conversion
 from wearlake.plans import driver_tables as given
 from wearlake.schema import template_columns
-from wearlake.session import scratch_dir
-from wearlake.sources import files, recordings, selection, sinks
+from wearlake.session import scratch_path
+from wearlake.sources import files, recordings, selection, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,7 +80,10 @@ def series_summary(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    return summary.run_report(given.recordings(spark, sf_dir), SERIES)
+    """Errors play the recordings that failed."""
+    rows = given.recordings(spark, sf_dir)
+    bad = F.col("event_type") == "error"
+    return summary.run_report(rows.where(~bad), SERIES, rows.where(bad).select(*SERIES))
 
 
 @query
@@ -283,26 +285,112 @@ def schema_listing(spark, sf_dir):
 
 @query
 def file_audit(spark, sf_dir):
-    listed = files.with_footers(files.single_level(spark, sf_dir, "*.parquet"), sf_dir)
+    return _audited(spark, sf_dir)
+
+
+def _audited(spark, folder):
+    listed = materialise(files.with_footers(files.single_level(spark, folder, "%.parquet"), folder))
     return audit(spark, listed).select("file_name", "n_rows", "n_scanned", "ok", "problem")
 
 
+@query
+def file_audit_damaged(spark, sf_dir):
+    """A sound file with signs in its name, an empty one and one that is no Parquet."""
+    folder = scratch_path(spark, "audit")
+    given.table(spark, sf_dir, "nation").coalesce(1).write.parquet(f"{folder}/good")
+    given.table(spark, sf_dir, "nation").select("n_name").coalesce(1).write.text(f"{folder}/text")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for kind, name in (("good", "good 100%+.parquet"), ("text", "text.parquet")):
+        part = next(f.getPath() for f in system.listStatus(path(f"{folder}/{kind}")) if f.getPath().getName().startswith("part-"))
+        system.rename(part, path(f"{folder}/{name}"))
+    system.create(path(f"{folder}/empty.parquet")).close()
+    return _audited(spark, folder)
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """Written as CSV by event type, then read back with types."""
     rows = given.table(spark, sf_dir, "events").select("event_type", "event_id", "user_id", "value", "ts")
-    target = f"{scratch_dir(spark)}/csv-{uuid.uuid4().hex}"
+    target = scratch_path(spark, "csv")
     sinks.write_csv(rows, target, ["event_type"])
     schema = "event_id BIGINT, user_id BIGINT, value DOUBLE, ts TIMESTAMP_NTZ, event_type STRING"
     read = spark.read.schema(schema).option("header", True)
     return read.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(target)
 
 
+@query
+def csv_texts(spark, sf_dir):
+    """Quotes, line feeds and outer blanks of texts survive."""
+    rows = given.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    target = scratch_path(spark, "csv")
+    sinks.write_csv(rows, target, ["lang"])
+    read = spark.read.schema("doc_id BIGINT, text STRING, lang STRING").options(**sinks.CSV)
+    return read.option("multiLine", True).csv(target)
+
+
+@query
+def csv_rows(spark, sf_dir):
+    """Rows 25 to 74 and the last ten of one CSV file per event type, by row number."""
+    rows = given.table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    target = scratch_path(spark, "csv")
+    sinks.write_csv(rows.repartition("event_type"), target, ["event_type"], order="_none")
+    read = tables.with_csv_rows(
+        spark.read.schema("event_id BIGINT, value DOUBLE, event_type STRING").options(**sinks.CSV).csv(target)
+    )
+    middle = recordings.row_slice(read, 25, 50)
+    last = recordings.tail(read, 10, ["event_type"])
+    return middle.union(last).distinct().select("event_type", "row_index", "event_id", "value")
+
+
+@query
+def metadata_csv(spark, sf_dir):
+    """Subject metadata from a CSV file with numbers such as ``12.0``."""
+    known = given.metadata(spark, sf_dir).orderBy("row_index").coalesce(1)
+    number = F.when(F.col("row_index") % 2 == 0, F.concat("src_subject_id", F.lit(".0"))).otherwise(
+        F.concat(F.lit(" "), F.col("src_subject_id").cast("string"))
+    )
+    target = scratch_path(spark, "csv")
+    known.select(number.alias("src_subject_id"), "subjectkey", "sex").write.options(**sinks.CSV).csv(target)
+    read = lookup.first_per_subject(tables.read_metadata(spark, target), "row_index")
+    users = given.recordings(spark, sf_dir).select("subject_id").distinct()
+    return users.join(read, "subject_id").select("subject_id", "subjectkey", "sex")
+
+
+@query
+def visits_csv(spark, sf_dir):
+    """Birth dates from a CSV file with dates of three spellings and ages that are ``NaN``."""
+    seen = given.visits(spark, sf_dir)
+    day = F.col("interview_date")
+    kind = F.pmod("o_orderkey", F.lit(3))
+    spelled = (
+        F.when(kind == 0, F.date_format(day, "MM/dd/yyyy"))
+        .when(kind == 1, F.date_format(day, "M/d/yyyy"))
+        .otherwise(day.cast("string"))
+    )
+    age = F.coalesce(F.concat(F.col("interview_age"), F.lit(".0")), F.lit("NaN"))
+    target = scratch_path(spark, "csv")
+    seen.select(
+        "src_subject_id", spelled.alias("interview_date"), age.alias("interview_age")
+    ).write.options(**sinks.CSV).csv(target)
+    return births.birth_dates(tables.read_visits(spark, target))
+
+
+@query
+def parquet_to_csv_whole(spark, sf_dir):
+    """The copy without a limit, with moments."""
+    target = scratch_path(spark, "copy")
+    sinks.copy_parquet_to_csv(spark, f"{sf_dir}/events.parquet", target, -1)
+    schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    read = spark.read.schema(schema).options(**sinks.CSV)
+    return read.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(target).drop("props")
+
+
 @query
 def parquet_to_csv(spark, sf_dir):
     """The bounded copy, read back."""
-    target = f"{scratch_dir(spark)}/copy-{uuid.uuid4().hex}"
-    sinks.copy_parquet_to_csv(spark, f"{sf_dir}/customer.parquet", target)
+    target = scratch_path(spark, "copy")
+    sinks.copy_parquet_to_csv(spark, f"{sf_dir}/customer.parquet", target, 1000)
     schema = (
         "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
     )
@@ -375,7 +463,10 @@ def validate_dictionary(spark, sf_dir):
 @query
 def signal_summary(spark, sf_dir):
     rows = given.recordings(spark, sf_dir).select(*SERIES, "event_id", "timestamp_local", "value")
-    return rounded(signal_stats.signal_summary(rows, SERIES, "value", "timestamp_local", "event_id"))
+    columns = len(given.table(spark, sf_dir, "events").columns)
+    return rounded(
+        signal_stats.signal_summary(rows, SERIES, "value", "timestamp_local", "event_id", columns)
+    )
 
 
 @query
@@ -432,6 +523,13 @@ def histogram30(spark, sf_dir):
     return rounded(signal_stats.histogram(rows, SIGNAL, "value", "event_id"))
 
 
+@query
+def histogram_edges(spark, sf_dir):
+    """Discounts lie on edges of their bins."""
+    rows = given.table(spark, sf_dir, "lineitem")
+    return rounded(signal_stats.histogram(rows, ["l_returnflag"], "l_discount", "l_orderkey"))
+
+
 @query
 def box_stats(spark, sf_dir):
     return rounded(signal_stats.box_stats(given.recordings(spark, sf_dir), SIGNAL, "value", "event_id"))

@@ -48,7 +48,7 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "value",
-        F.col("user_id").cast("int").alias("subject_id"),
+        F.col("user_id").cast("bigint").alias("subject_id"),
         fields.padded_number(F.col("user_id")).alias("src_subject_id"),
         F.pmod("event_id", F.lit(2)).cast("int").alias("device_position"),
         F.col("ts").cast("timestamp").alias("timestamp_utc"),
@@ -74,7 +74,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rows per subject, so that the first one counts; some users have none."""
     suppliers = table(spark, sf_dir, "supplier")
     return suppliers.select(
-        F.expr("s_suppkey div 2").cast("int").alias("src_subject_id"),
+        F.expr("s_suppkey div 2").cast("bigint").alias("src_subject_id"),
         F.col("s_name").alias("subjectkey"),
         F.when(F.pmod("s_nationkey", F.lit(2)) == 0, "F").otherwise("M").alias("sex"),
         F.col("_metadata.row_index").alias("row_index"),
@@ -91,7 +91,7 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     age = completed_months(birth(), F.col("o_orderdate")) + F.pmod("o_orderkey", F.lit(3))
     return orders.select(
         "o_orderkey",
-        fields.subject_code(F.col("o_custkey").cast("int")).alias("src_subject_id"),
+        fields.subject_code(F.col("o_custkey").cast("bigint")).alias("src_subject_id"),
         F.to_date("o_orderdate").alias("interview_date"),
         F.when(~silent, age).cast("int").alias("interview_age"),
     )

@@ -82,7 +82,7 @@ RECORDING_TYPES = {
     "mt_pilot_vib_device": "string",
 }
 
-METADATA_SCHEMA = "src_subject_id INT, subjectkey STRING, sex STRING"
+METADATA_SCHEMA = "src_subject_id BIGINT, subjectkey STRING, sex STRING"
 VISIT_COLUMNS = ("src_subject_id", "interview_date", "interview_age")
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,13 +51,26 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
-    On a cluster this is the shared folder named in ``spark.checkpoint.dir``. Only
-    where that is unset (tests on one machine) a temporary folder is made.
+    On a cluster this is the shared folder named in ``spark.checkpoint.dir``; without it
+    a cluster is refused, as executors would each write to a disk of their own. Where
+    everything runs in one process (tests) a temporary folder is made, and removed when
+    Python ends.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current is None:
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="wearlake-"))
-        current = context.getCheckpointDir()
-    return configured or current
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if configured is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="wearlake-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the scratch folder; what is written there goes with the session."""
+    path = f"{scratch_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.functions import names
+from wearlake.operators.keyed import materialise
 
 FILE_SCHEMA = "folder string, file_name string, path string, length bigint"
 FOOTER_SCHEMA = (
@@ -14,15 +15,36 @@ FOOTER_SCHEMA = (
 )
 
 
+# Rows of one footer task; a footer costs a few reads, so tasks stay short.
+FILES_PER_TASK = 200
+
+
+def qualified(spark: SparkSession, base: str) -> str:
+    """``base`` as Spark spells it, whatever the caller wrote (``/x``, ``file:///x``, ...)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(path).toString().rstrip("/")
+
+
+def filesystem_root(spark: SparkSession, path: str) -> str:
+    """The root of the file system that holds ``path``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().toString() + "/"
+
+
 def _opener(base: str):
-    """Function for tasks: file system, path within it, and what precedes it in a URI."""
+    """Function for tasks: file system and the place of the qualified ``base`` in it."""
 
     def open_base():
+        from urllib.parse import quote
+
         from pyarrow import fs
 
+        if base.startswith("file:"):
+            return fs.LocalFileSystem(), "/" + base.removeprefix("file:").lstrip("/")
         uri = "s3://" + base[6:] if base.startswith("s3a://") else base
-        system, path = fs.FileSystem.from_uri(uri.rstrip("/"))
-        return system, path, base.rstrip("/").removesuffix(path)
+        system, place = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
+        return system, place.rstrip("/")
 
     return open_base
 
@@ -30,32 +52,39 @@ def _opener(base: str):
 def list_files(spark: SparkSession, base: str) -> DataFrame:
     """Files of every folder directly under ``base``, empty files included.
 
-    A folder without files gives one row without file. One task lists the folders;
-    the folders are then spread and each is listed where it lands.
+    A folder without files gives one row without file. Spark's own sources leave out
+    empty files and folders, which an audit must name, so tasks list: one the folders,
+    then each folder where it lands. Paths are spelled as Spark's scans spell them.
     """
-    open_base = _opener(base)
+    root = qualified(spark, base)
+    open_base = _opener(root)
 
     def folders(batches):
         import pandas as pd
         from pyarrow import fs
 
         for _ in batches:
-            system, path, _ = open_base()
-            found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
-            kept = [f for f in found if f.type == fs.FileType.Directory]
+            system, place = open_base()
+            found = system.get_file_info(fs.FileSelector(place, allow_not_found=True))
+            kept = [f.base_name for f in found if f.type == fs.FileType.Directory]
             if kept:
-                yield pd.DataFrame(
-                    {"folder": [f.base_name for f in kept], "path": [f.path for f in kept]}
-                )
+                yield pd.DataFrame({"folder": kept})
 
+    roots = spark.createDataFrame([(root,)], "base string")
+    names_of = roots.mapInPandas(folders, "folder string")
+    return _listed(names_of.repartition("folder"), root, open_base)
+
+
+def _listed(folders: DataFrame, root: str, open_base) -> DataFrame:
     def files(batches):
         import pandas as pd
         from pyarrow import fs
 
-        system, _, scheme = open_base()
+        system, place = open_base()
         for batch in batches:
-            for folder, path in zip(batch["folder"], batch["path"]):
-                found = system.get_file_info(fs.FileSelector(path))
+            for folder in batch["folder"]:
+                below = f"/{folder}" if folder else ""
+                found = system.get_file_info(fs.FileSelector(place + below))
                 kept = [f for f in found if f.type == fs.FileType.File]
                 if not kept:
                     yield pd.DataFrame(
@@ -66,48 +95,38 @@ def list_files(spark: SparkSession, base: str) -> DataFrame:
                     {
                         "folder": folder,
                         "file_name": [f.base_name for f in kept],
-                        "path": [scheme + f.path for f in kept],
+                        "path": [f"{root}{below}/{f.base_name}" for f in kept],
                         "length": [f.size for f in kept],
                     }
                 )
 
-    roots = spark.createDataFrame([(base,)], "base string")
-    return (
-        roots.mapInPandas(folders, "folder string, path string")
-        .repartition(spark.sparkContext.defaultParallelism, "path")
-        .mapInPandas(files, FILE_SCHEMA)
-    )
+    return folders.mapInPandas(files, FILE_SCHEMA)
 
 
-def single_level(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:
-    """Files directly in ``base``, by Spark's own listing; contents are not read."""
-    listed = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(base)
-    )
-    return listed.select(
-        F.lit("").alias("folder"),
-        names.base_name(F.col("path")).alias("file_name"),
-        plain_path(F.col("path")).alias("path"),
-        "length",
-    )
+def single_level(spark: SparkSession, base: str, pattern: str = "%") -> DataFrame:
+    """Files directly in ``base`` whose name is like ``pattern``, empty ones included."""
+    root = qualified(spark, base)
+    here = spark.createDataFrame([("",)], "folder string")
+    return _listed(here, root, _opener(root)).where(F.col("file_name").like(pattern))
 
 
 def with_footers(files: DataFrame, base: str) -> DataFrame:
     """Add what each file's Parquet footer says; no data page is read."""
 
-    open_base = _opener(base)
+    root = qualified(files.sparkSession, base)
+    open_base = _opener(root)
 
     def footers(batches):
         import pandas as pd
         import pyarrow.parquet as pq
 
-        system, _, scheme = open_base()
+        system, place = open_base()
 
         def look(path, length):
             if path is None or not length:
                 return (False, "empty file" if path else None, None, None, None, None, None)
             try:
-                with system.open_input_file(path.removeprefix(scheme)) as source:
+                with system.open_input_file(place + path.removeprefix(root)) as source:
                     file = pq.ParquetFile(source)
                     about, schema = file.metadata, file.schema_arrow
                 columns = [{"name": f.name, "type": str(f.type)} for f in schema]
@@ -116,7 +135,7 @@ def with_footers(files: DataFrame, base: str) -> DataFrame:
                     about.created_by, columns,
                 )
             except Exception as problem:  # any failure is the finding itself
-                return (False, str(problem)[:500], None, None, None, None, None)
+                return (False, str(problem), None, None, None, None, None)
 
         added = [
             "readable", "error", "n_rows", "n_columns", "n_row_groups", "created_by", "columns",
@@ -126,9 +145,9 @@ def with_footers(files: DataFrame, base: str) -> DataFrame:
             extra = pd.DataFrame(found, columns=added, index=batch.index, dtype=object)
             yield pd.concat([batch, extra], axis=1)
 
-    # A fixed number of tasks: rows this small would otherwise be merged into one.
-    tasks = files.sparkSession.sparkContext.defaultParallelism
-    spread = files.repartition(tasks, "path")
+    # Rows this small would otherwise be merged into one task.
+    listed = materialise(files)
+    spread = listed.repartition(listed.count() // FILES_PER_TASK + 1, "path")
     return spread.mapInPandas(footers, f"{FILE_SCHEMA}, {FOOTER_SCHEMA}")
 
 
@@ -136,7 +155,7 @@ def participants(files: DataFrame) -> DataFrame:
     """Participant folders ``SP<number>``, one row each; others are left out."""
     number = F.regexp_extract("folder", names.FOLDER_NAME, 1)
     return (
-        files.select("folder", F.nullif(number, F.lit("")).try_cast("int").alias("subject_id"))
+        files.select("folder", F.nullif(number, F.lit("")).try_cast("bigint").alias("subject_id"))
         .where(F.col("subject_id").isNotNull())
         .distinct()
     )
@@ -153,11 +172,11 @@ def recordings(files: DataFrame) -> DataFrame:
     return (
         files.where(F.col("file_name").isNotNull() & names.is_recording(path))
         .withColumn("participant_id", names.participant(path))
-        .withColumn("subject_id", subject.try_cast("int"))
+        .withColumn("subject_id", subject.try_cast("bigint"))
         .withColumn("signal", names.recording_part(path, 2))
         .withColumn("side", names.recording_part(path, 3))
         .withColumn(
-            "misplaced", ~F.col("subject_id").eqNullSafe(folder_number.try_cast("int"))
+            "misplaced", ~F.col("subject_id").eqNullSafe(folder_number.try_cast("bigint"))
         )
     )
 
@@ -174,7 +193,9 @@ def paths_by_layout(checked: DataFrame, layout: Column) -> list[tuple[tuple, lis
     return [(columns, sorted(paths)) for columns, paths in sorted(found.items())]
 
 
-def plain_path(uri: Column) -> Column:
-    """A scanned row's file URI spelled like the paths of a listing."""
-    local = F.regexp_replace(uri, "^file:/+", "/")
-    return F.url_decode(F.replace(local, F.lit("+"), F.lit("%2B")))
+def scanned_path(uri: Column) -> Column:
+    """The path of a scanned row (``_metadata.file_path``), as a listing spells it.
+
+    Scans encode special characters but leave ``+`` alone.
+    """
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,7 +26,7 @@ _READ_TYPES = {
 
 
 def _read_type(arrow_type: str) -> str | None:
-    """Read type of a column, or None if it holds nothing but nulls."""
+    """Read type of a column, or None if it has nothing to read."""
     if arrow_type == "null":
         return None
     if arrow_type.startswith("timestamp[ns"):
@@ -34,7 +35,11 @@ def _read_type(arrow_type: str) -> str | None:
         return "timestamp" if "tz=" in arrow_type else "timestamp_ntz"
     if arrow_type.startswith("dictionary<values=string"):
         return "string"
-    return _READ_TYPES[arrow_type]
+    decimal = re.fullmatch(r"decimal\d+\((\d+), (-?\d+)\)", arrow_type)
+    if decimal:
+        return f"decimal({decimal[1]},{decimal[2]})"
+    # Types no recording has (lists, times, ...) are treated like a column of nulls.
+    return _READ_TYPES.get(arrow_type)
 
 
 def _canonical(name: str, arrow_type: str | None, wanted: str):
@@ -104,13 +109,23 @@ def scan(
 
 def _empty_schema(wanted: dict[str, str]) -> str:
     fixed = (
-        "participant_id string, signal string, side string, subject_id int, "
+        "participant_id string, signal string, side string, subject_id bigint, "
         "src_subject_id string, device_position int"
     )
     typed = "".join(f", `{n}` {t}" for n, t in wanted.items())
     return "row_index bigint, day_absent boolean" + typed + ", " + fixed
 
 
+def unread_columns(checked: DataFrame) -> DataFrame:
+    """Columns of recordings that are there but cannot be read, by their stored type."""
+    entries = checked.where("readable").select(
+        "path", "signal", F.explode("columns").alias("_column")
+    ).select("path", "signal", "_column.name", "_column.type")
+    known = [*_READ_TYPES, "null"]
+    plain = F.col("type").isin(known) | F.col("type").rlike(r"^(timestamp\[|decimal\d+\(|dictionary<values=string)")
+    return entries.where(~plain)
+
+
 def head(rows: DataFrame, n: int, order: str = "row_index") -> DataFrame:
     """First ``n`` rows of every series."""
     return rows.where(F.col(order) < n)

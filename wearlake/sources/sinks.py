@@ -5,11 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wearlake.schema import SERIES
+from wearlake.session import prepare
+from wearlake.sources import files as tree
 
-# fixed value: rows of each file a bounded copy keeps
-BOUNDED_ROWS = 2000
+# How CSV is written and read here: quotes doubled, blanks kept, microseconds.
+CSV = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+_WRITTEN = {
+    **CSV,
+    "emptyValue": "",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+}
 
 
 def write_csv(
@@ -24,20 +38,35 @@ def write_csv(
     """
     if order in rows.columns:
         rows = rows.sortWithinPartitions(*keys, order).drop(order)
-    (
-        rows.write.mode("overwrite")
-        .partitionBy(*keys)
-        .option("header", True)
-        .option("emptyValue", "")
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        .csv(path)
+    rows.write.mode("overwrite").partitionBy(*keys).options(**_WRITTEN).csv(path)
+
+
+def whole_moments(rows: DataFrame, source: str) -> DataFrame:
+    """Nanosecond columns of a Parquet ``source``, read as longs, as moments in microseconds.
+
+    Footers tell which columns these are.
+    """
+    spark = rows.sparkSession
+    paths = [(None, None, path, 1) for path in spark.read.format("binaryFile").load(source).select("path").toPandas()["path"]]
+    listed = spark.createDataFrame(paths, tree.FILE_SCHEMA)
+    footers = tree.with_footers(listed, tree.filesystem_root(spark, source))
+    kinds = footers.select(F.explode("columns").alias("c")).where(F.col("c.type").startswith("timestamp[ns"))
+    names = {row[0] for row in kinds.select("c.name").distinct().collect()}
+    return rows.select(
+        *(
+            F.timestamp_micros(F.expr(f"(`{name}` - pmod(`{name}`, 1000)) div 1000")).alias(name)
+            if name in names
+            else F.col(f"`{name}`")
+            for name in rows.columns
+        )
     )
 
 
 def copy_parquet_to_csv(
-    spark: SparkSession, source: str, target: str, first_rows: int = BOUNDED_ROWS
+    spark: SparkSession, source: str, target: str, first_rows: int
 ) -> None:
-    """First rows of each Parquet file, all columns, as CSV."""
-    rows = spark.read.parquet(source).where(f"_metadata.row_index < {int(first_rows)}")
-    rows.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(target)
+    """The first ``first_rows`` rows of each Parquet file, -1 for all, all columns, as CSV."""
+    rows = prepare(spark).read.parquet(source)
+    if first_rows >= 0:
+        rows = rows.where(f"_metadata.row_index < {int(first_rows)}")
+    whole_moments(rows, source).write.mode("overwrite").options(**_WRITTEN).csv(target)

@@ -4,26 +4,28 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearlake.operators.keyed import BROADCAST_SERIES, join_on, materialise
+from wearlake.operators.keyed import join_on, stored
 from wearlake.schema import METADATA_SCHEMA, VISIT_COLUMNS
+from wearlake.sources import sinks
 
 
 def with_csv_rows(raw: DataFrame, out: str = "row_index") -> DataFrame:
     """Number the rows of each CSV file from 0 in file order.
 
     Rows of one split keep their order, so their running id less the split's smallest
-    gives the place in the split; the row counts of the splits before are added. Only
-    split totals are brought together, never rows; they are frozen and counted, which
-    settles whether they may be broadcast.
+    gives the place in the split; the row counts of the splits before are added. Rows,
+    splits and ids come from one written copy: a second scan could cut files otherwise.
     """
-    at = raw.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+    at = stored(
+        raw.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
+        )
     )
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
@@ -36,25 +38,40 @@ def with_csv_rows(raw: DataFrame, out: str = "row_index") -> DataFrame:
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         )
     )
-    splits = materialise(splits)
-    small = splits.count() <= BROADCAST_SERIES
     return (
-        join_on(at, splits, ["_file", "_block"], small=small)
+        join_on(at, splits, ["_file", "_block"])
         .withColumn(out, F.col("_start") + F.col("_id") - F.col("_first"))
         .drop("_file", "_block", "_id", "_first", "_start")
     )
 
 
+def _whole(text: Column) -> Column:
+    """A whole number, also one written like ``12.0``."""
+    number = F.trim(text).try_cast("double")
+    return F.coalesce(
+        F.trim(text).try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint"))
+    )
+
+
+def _day(text: Column) -> Column:
+    """A date as ``2020-01-28``, with or without a time, or month first."""
+    plain = F.trim(text)
+    return F.coalesce(
+        plain.try_cast("date"),
+        *(F.try_to_date(plain, shape) for shape in ("M/d/yyyy", "M-d-yyyy", "yyyy/M/d", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")),
+    )
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Subject metadata with ``row_index``, its order in the file.
 
     Columns are found by name, whatever their order; others are dropped.
     """
     fields = [part.split() for part in METADATA_SCHEMA.split(", ")]
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.options(**sinks.CSV).csv(path)
     # fmt: off
     typed = raw.select(
-        *(F.trim(F.col(n)).try_cast(t.lower()).alias(n) if t == "INT" else F.col(n) for n, t in fields),
+        *(_whole(F.col(n)).cast(t.lower()).alias(n) if t == "BIGINT" else F.col(n) for n, t in fields),
         F.struct(
             F.col("_metadata.file_path"),
             F.col("_metadata.file_block_start"),
@@ -67,12 +84,12 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def read_visits(spark: SparkSession, path: str) -> DataFrame:
     """Visits: subject code, interview date, age in months."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.options(**sinks.CSV).csv(path)
     code, date, age = VISIT_COLUMNS
     return raw.select(
         F.col(code),
-        F.col(date).try_cast("date").alias(date),
-        F.col(age).try_cast("double").cast("int").alias(age),
+        _day(F.col(date)).alias(date),
+        F.trim(F.col(age)).try_cast("double").try_cast("int").alias(age),
     )
 
 
@@ -80,7 +97,8 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet or CSV file by its extension, with ``row_index``."""
     kind = os.path.splitext(path)[1].lower()
     if kind == ".parquet":
-        return spark.read.parquet(path).select("*", "_metadata.row_index")
+        rows = sinks.whole_moments(spark.read.parquet(path).select("*", "_metadata.row_index"), path)
+        return rows
     if kind == ".csv":
         return with_csv_rows(spark.read.option("header", True).csv(path))
     raise ValueError(f"unsupported file type '{kind}': only .parquet and .csv")
