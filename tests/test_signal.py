@@ -197,7 +197,7 @@ def test_distinct_values_keep_null_and_first_row(spark):
 def test_positions_number_rows_despite_gaps(spark, chunk):
     data = [(s, i * i + 3) for s, n in (("a", 40), ("b", 3)) for i in range(n)]
     df = spark.createDataFrame(data, "series string, id bigint")
-    found = positions(df, KEYS, "id", chunk=chunk).orderBy("series", "id").collect()
+    found = positions(df, KEYS, "id").orderBy("series", "id").collect()
     assert [r.position for r in found] == [*range(40), *range(3)]
-    whole = positions(df.where(F.col("series") == "a"), [], "id", chunk=chunk).orderBy("id")
+    whole = positions(df.where(F.col("series") == "a"), [], "id").orderBy("id")
     assert [r.position for r in whole.collect()] == list(range(40))

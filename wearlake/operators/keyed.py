@@ -93,34 +93,35 @@ def attach(
 
 
 def positions(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    out: str = "position",
-    chunk: int = CHUNK_ROWS,
+    rows: DataFrame, keys: Sequence[str], order: str, out: str = "position"
 ) -> DataFrame:
-    """Add each row's 0-based rank in its series by the integer column ``order``.
+    """Add each row's 0-based rank in its series by the column ``order``.
 
-    ``order`` must be unique within a series but may have gaps. It is cut into equal
-    ranges; rows are numbered within a range and shifted by the row count of the
-    ranges before. The cut is fixed by the value, so both branches always agree.
+    ``order`` must be unique within a series; gaps of any size do not matter. Rows are
+    range-partitioned by series and order once and numbered where they land; the written
+    copy fixes the partitions. A row's rank is its place in its partition plus the rows
+    of its series in earlier partitions; only these totals are brought together.
     """
     keys = list(keys)
-    cut = rows.withColumn("_cut", whole_part(order, chunk))
-    before = Window.partitionBy(*keys).orderBy("_cut").rowsBetween(
-        Window.unboundedPreceding, -1
+    ordered = stored(
+        rows.repartitionByRange(*keys, order)
+        .sortWithinPartitions(*keys, order)
+        .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
     )
-    starts = (
-        cut.groupBy(*keys, "_cut")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, "_cut", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    within = Window.partitionBy(*keys, "_cut").orderBy(order)
-    numbered = cut.withColumn("_rank", F.row_number().over(within) - 1)
+    totals = materialise(
+        ordered.groupBy(*keys, "_part")
+        .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        .select(
+            *keys, "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
+        )
+    )
     return (
-        join_on(numbered, starts, [*keys, "_cut"])
-        .withColumn(out, F.col("_start") + F.col("_rank"))
-        .drop("_cut", "_rank", "_start")
+        join_on(ordered, totals, [*keys, "_part"], small=totals.count() <= BROADCAST_SERIES)
+        .withColumn(out, F.col("_start") + F.col("_id") - F.col("_first"))
+        .drop("_part", "_id", "_first", "_start")
     )
 
 

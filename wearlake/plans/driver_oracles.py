@@ -454,6 +454,8 @@ ORACLES = {
     "box_outliers": f"""WITH {QUARTILES} SELECT event_type, event_id, value
         FROM events JOIN box USING (event_type)
         WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
+    "sparse_positions": """SELECT event_type, event_id,
+        row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS position FROM events""",
     "differences": f"{STEPS} SELECT event_id, round(diff, 6) AS diff FROM steps",
     "rolling_band": BAND,
     "rolling_band_chunked": BAND,

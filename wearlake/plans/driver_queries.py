@@ -540,6 +540,14 @@ def box_outliers(spark, sf_dir):
     return signal_stats.box_outliers(given.recordings(spark, sf_dir), SIGNAL, "value", "event_id")
 
 
+@query
+def sparse_positions(spark, sf_dir):
+    """Row numbers by an order with very large gaps."""
+    rows = given.table(spark, sf_dir, "events").select("event_type", "event_id")
+    wide = rows.withColumn("at", F.col("event_id") * 1_000_000_007)
+    return positions(wide, ["event_type"], "at").select("event_type", "event_id", "position")
+
+
 # ---- windows --------------------------------------------------------------------
 
 
