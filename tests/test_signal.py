@@ -193,8 +193,7 @@ def test_distinct_values_keep_null_and_first_row(spark):
     assert [tuple(r) for r in found] == [("x", 0), (None, 1), ("y", 2)]
 
 
-@pytest.mark.parametrize("chunk", [1_000_000, 10])
-def test_positions_number_rows_despite_gaps(spark, chunk):
+def test_positions_number_rows_despite_gaps(spark):
     data = [(s, i * i + 3) for s, n in (("a", 40), ("b", 3)) for i in range(n)]
     df = spark.createDataFrame(data, "series string, id bigint")
     found = positions(df, KEYS, "id").orderBy("series", "id").collect()

@@ -469,3 +469,21 @@ ORACLES = {
     "flat_count": f"""{FLAT} SELECT event_type, CAST(count(*) FILTER (flat) AS BIGINT) AS n_flat
         FROM flagged GROUP BY event_type""",
 }
+
+ORACLES["signal_report"] = f"""
+SELECT * FROM (
+    WITH {REC}, m AS (SELECT *, date_trunc('minute', local) AS minute FROM rec)
+    SELECT event_type, CAST(count(*) AS BIGINT) AS n_rows, min(minute) AS min_local, max(minute) AS max_local,
+        arg_min(minute, event_id) AS first_local, arg_max(minute, event_id) AS last_local,
+        round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std,
+        round(min(value), 6) AS min, round(max(value), 6) AS max,
+        CAST((SELECT count(*) FROM information_schema.columns WHERE table_name = 'events') AS INTEGER) AS n_columns,
+        round((epoch_us(max(minute)) - epoch_us(min(minute))) / 1e6, 6) AS duration_s,
+        round((epoch_us(arg_max(minute, event_id)) - epoch_us(arg_min(minute, event_id))) / 1e6, 6) AS extent_s,
+        round(max(value) - min(value), 6) AS range
+    FROM m GROUP BY event_type
+) JOIN ({ORACLES["sampling_rate"]}) USING (event_type)
+JOIN (SELECT * EXCLUDE (n) FROM ({ORACLES["box_stats"]})) USING (event_type)
+JOIN (SELECT * EXCLUDE (n_rows) FROM ({ORACLES["high_variation"]})) USING (event_type)
+JOIN ({ORACLES["flat_count"]}) USING (event_type)
+"""

@@ -13,6 +13,7 @@ from wearlake.functions.zones import zone_fields
 from wearlake.operators import births, contract, lookup, quantiles, rolling, signal_stats, summary
 from wearlake.operators.audit import audit
 from wearlake.operators.keyed import materialise, positions, stored
+from wearlake.plans import analysis
 from wearlake.plans import convert as conversion
 from wearlake.plans import driver_tables as given
 from wearlake.schema import template_columns
@@ -587,3 +588,18 @@ def flat_points(spark, sf_dir):
 def flat_count(spark, sf_dir):
     flagged = rolling.flat_points(in_order(spark, sf_dir), SIGNAL, "value", "position", FLAT)
     return rolling.flat_count(flagged, SIGNAL)
+
+
+# ---- a whole report -------------------------------------------------------------
+
+
+@query
+def signal_report(spark, sf_dir):
+    """All statistics of each event type's signal."""
+    minute = F.date_trunc("minute", "timestamp_local").cast("timestamp_ntz")
+    rows = given.recordings(spark, sf_dir).withColumn("minute", minute)
+    columns = len(given.table(spark, sf_dir, "events").columns)
+    report = analysis.signal_report(
+        rows, SIGNAL, "value", "minute", "event_id", columns, flat_threshold=FLAT
+    )
+    return rounded(report)
