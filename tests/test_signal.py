@@ -135,9 +135,8 @@ def test_signal_summary(rows, frames):
         assert got.duration_s == pytest.approx((local.max() - local.min()).total_seconds())
 
 
-@pytest.mark.parametrize("counted", [1_000_000, 0])
-def test_describe_numeric(rows, frames, counted):
-    found = signal_stats.describe_numeric(rows, KEYS, ["value", "position"], counted_values=counted)
+def test_describe_numeric(rows, frames):
+    found = signal_stats.describe_numeric(rows, KEYS, ["value", "position"])
     for row in found.collect():
         frame = frames[row.series][row.column].describe()
         got = [row["count"], row["mean"], row["std"], row["min"], row["q25"], row["q50"], row["q75"], row["max"]]
@@ -149,7 +148,7 @@ def test_ranked_percentiles_of_repeated_and_missing_values(spark):
     data = [("a", 1.0)] * 700 + [("a", 2.0)] * 299 + [("a", 9.0)] + [("b", None)] * 3 + [("c", 5.0)]
     df = spark.createDataFrame(data, "series string, value double")
     shares = (0.0, 0.25, 0.7, 0.9995, 1.0)
-    found = {r.series: r.quantiles for r in quantiles.ranked_percentiles(df, KEYS, "value", shares).collect()}
+    found = {r.series: r.quantiles for r in quantiles.percentiles(df, KEYS, "value", shares).collect()}
     values = np.array([v for s, v in data if s == "a"])
     same(found["a"], np.quantile(values, shares))
     assert found["c"] == [5.0] * 5 and found["b"] is None
@@ -165,6 +164,16 @@ def test_histogram(rows, frames):
         same(part["bin_hi"], edges[1:])
 
 
+def test_histogram_on_edges(spark):
+    for step, n in ((0.1, 31), (0.07, 43), (0.01, 11)):
+        values = [i * step for i in range(n)] * 2
+        df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "series string, position long, value double")
+        found = signal_stats.histogram(df, KEYS, "value", "position").toPandas().sort_values("bin")
+        counts, edges = np.histogram(values, bins=30)
+        assert found["n"].tolist() == counts.tolist()
+        same(found["bin_hi"], edges[1:])
+
+
 def box(values):
     values = np.sort(values)
     q1, median, q3 = np.percentile(values, [25, 50, 75])
@@ -174,9 +183,8 @@ def box(values):
     return q1, median, q3, *ends, len(values) - len(inside)
 
 
-@pytest.mark.parametrize("counted", [1_000_000, 0])
-def test_box_stats(rows, frames, counted):
-    found = signal_stats.box_stats(rows, KEYS, "value", "position", counted).collect()
+def test_box_stats(rows, frames):
+    found = signal_stats.box_stats(rows, KEYS, "value", "position").collect()
     assert len(found) == len(frames)
     beyond = signal_stats.box_outliers(rows, KEYS, "value", "position").groupBy("series").count()
     outliers = {r.series: r["count"] for r in beyond.collect()}

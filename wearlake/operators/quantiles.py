@@ -7,56 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.operators.keyed import BROADCAST_SERIES, broadcastable, join_on, materialise
+from wearlake.operators.keyed import BROADCAST_SERIES, join_on, materialise, stored
 
-# Spark's exact percentile keeps one counter per distinct value of a group. It is
-# used only where the largest group was measured to have fewer values than this.
-COUNTED_VALUES = 1_000_000
 
-
-def most_distinct(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> int:
-    """Estimated number of distinct values in the most varied series and column."""
-    per_series = rows.groupBy(*keys).agg(
-        F.greatest(*(F.approx_count_distinct(name) for name in [*columns, columns[0]])).alias("n")
-    )
-    return per_series.agg(F.max("n")).first()[0] or 0
-
-
-def percentiles(
-    rows: DataFrame,
-    keys: Sequence[str],
-    column: str,
-    shares: Sequence[float],
-    counted_values: int = COUNTED_VALUES,
+def column_percentiles(
+    rows: DataFrame, keys: Sequence[str], columns: Sequence[str], shares: Sequence[float]
 ) -> DataFrame:
-    """One row per series with an array ``quantiles``, one value per share."""
-    if most_distinct(rows, keys, [column]) <= counted_values:
-        wanted = F.percentile(column, F.array(*(F.lit(float(s)) for s in shares)))
-        return rows.groupBy(*keys).agg(wanted.alias("quantiles"))
-    return ranked_percentiles(rows, keys, column, shares)
-
+    """``quantiles`` for every series and ``column``, one value per share, by rank.
 
-def ranked_percentiles(
-    rows: DataFrame, keys: Sequence[str], column: str, shares: Sequence[float]
-) -> DataFrame:
-    """The same result by rank, for series with any number of distinct values.
-
-    Equal values are counted, then range-partitioned by series and value. The copy in
-    the scratch folder fixes the partitions; from their totals follows which ranks
-    each holds. Only partitions that hold a wanted rank are looked into.
+    All columns go through one plan and one scan. Equal values are counted, so a group
+    holds one number, then range-partitioned by series, column and value. The written
+    copy fixes the partitions; from their totals follows which ranks each holds, and only
+    partitions that hold a wanted rank are looked into. A column without values has null.
     """
-    keys = list(keys)
-    counted = (
-        rows.where(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+    keys = [*keys, "column"]
+    values = F.array(
+        *(F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("_value")) for name in columns)
     )
-    ordered = materialise(
+    tall = rows.select(*keys[:-1], F.inline(values))
+    counted = tall.groupBy(*keys, "_value").agg(F.count("_value").alias("_n"))
+    ordered = stored(
         counted.repartitionByRange(*keys, "_value").withColumn("_part", F.spark_partition_id())
     )
     per_series = Window.partitionBy(*keys)
     earlier = per_series.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
+    parts = materialise(
         ordered.groupBy(*keys, "_part")
         .agg(F.sum("_n").alias("_size"))
         .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
@@ -70,21 +45,22 @@ def ranked_percentiles(
         )
     )
     asked = (
-        parts.withColumn("_ask", F.explode(spots))
+        parts.where("_total > 0")
+        .withColumn("_ask", F.explode(spots))
         .select(
             *keys, "_part", "_before", "_size", F.col("_ask.i").alias("_i"), F.col("_ask.spot").alias("_spot"),
             F.explode(F.array(F.floor("_ask.spot"), F.ceil("_ask.spot"))).alias("_rank"),
         )
         .distinct()
         .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size")))
-    )
-    small = broadcastable(rows, keys, BROADCAST_SERIES // (2 * len(shares)))
+    )
+    small = parts.count() * 2 * len(shares) <= BROADCAST_SERIES
     touched = asked.select(*keys, "_part", "_before").distinct()
     upto = Window.partitionBy(*keys, "_part").orderBy("_value").rowsBetween(
         Window.unboundedPreceding, 0
     )
     looked_into = (
-        join_on(ordered, touched, [*keys, "_part"], small=small)
+        join_on(ordered.where("_value IS NOT NULL"), touched, [*keys, "_part"], small=small)
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(upto))
         .drop("_before")
     )
@@ -96,4 +72,11 @@ def ranked_percentiles(
     found = hits.groupBy(*keys, "_i").agg((low + (high - low) * share).alias("_q"))
     by_share = F.sort_array(F.collect_list(F.struct("_i", "_q")))  # one entry per share
     answered = found.groupBy(*keys).agg(F.transform(by_share, lambda e: e["_q"]).alias("quantiles"))
-    return join_on(rows.select(*keys).distinct(), answered, keys, "left")
+    return join_on(parts.select(*keys).distinct(), answered, keys, "left")
+
+
+def percentiles(
+    rows: DataFrame, keys: Sequence[str], column: str, shares: Sequence[float]
+) -> DataFrame:
+    """One row per series with an array ``quantiles``, one value per share."""
+    return column_percentiles(rows, keys, [column], shares).drop("column")

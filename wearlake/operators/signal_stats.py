@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlake.operators.keyed import CHUNK_ROWS, Chunked, attach, broadcastable, join_on
-from wearlake.operators.quantiles import COUNTED_VALUES, most_distinct, percentiles
+from wearlake.operators.quantiles import column_percentiles, percentiles
 
 # fixed values: histogram bins, quartiles, reach of box-plot whiskers
 HISTOGRAM_BINS = 30
@@ -90,38 +90,25 @@ def distinct_values(rows: DataFrame, column: str, order: str, keys: Sequence[str
 
 
 def describe_numeric(
-    rows: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    counted_values: int = COUNTED_VALUES,
+    rows: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """Count, mean, sample std, min, quartiles and max of each column, as rows."""
     keys = list(keys)
-    compact = most_distinct(rows, keys, columns) <= counted_values
 
     def moments(name):
         value = F.col(name).cast("double")
-        entries = [
+        return F.struct(
+            F.lit(name).alias("column"),
             F.count(value).alias("count"),
             F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("std"),
             F.min(value).alias("min"),
             F.max(value).alias("max"),
-        ]
-        if compact:
-            shares = F.array(*(F.lit(s) for s in QUARTILES))
-            entries.append(F.percentile(value, shares).alias("quantiles"))
-        return F.struct(F.lit(name).alias("column"), *entries)
+        )
 
     wide = rows.groupBy(*keys).agg(F.array(*(moments(name) for name in columns)).alias("_all"))
-    tall = wide.select(*keys, F.inline("_all"))
-    if not compact:
-        quantiles = None
-        for name in columns:
-            one = percentiles(rows, keys, name, QUARTILES, counted_values)
-            one = one.withColumn("column", F.lit(name))
-            quantiles = one if quantiles is None else quantiles.unionByName(one)
-        tall = join_on(tall, quantiles, [*keys, "column"], "left")
+    quantiles = column_percentiles(rows, keys, columns, QUARTILES)
+    tall = join_on(wide.select(*keys, F.inline("_all")), quantiles, [*keys, "column"], "left")
     return tall.select(
         *keys, "column", "count", "mean", "std", "min",
         *(F.get("quantiles", F.lit(i)).alias(f"q{int(s * 100)}") for i, s in enumerate(QUARTILES)),
@@ -190,12 +177,12 @@ def histogram(
 
 
 def _with_fences(
-    rows: DataFrame, keys: Sequence[str], value: str, spread: str, counted_values: int
+    rows: DataFrame, keys: Sequence[str], value: str, spread: str
 ) -> DataFrame:
     """Samples with the quartiles and the whisker fences of their series."""
     q = [F.get("quantiles", F.lit(i)) for i in range(3)]
     reach = WHISKER_REACH * (q[2] - q[0])
-    fences = percentiles(rows, keys, value, QUARTILES, counted_values).select(
+    fences = percentiles(rows, keys, value, QUARTILES).select(
         *keys,
         q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
         (q[0] - reach).alias("_lower"), (q[2] + reach).alias("_upper"),
@@ -209,14 +196,13 @@ def box_stats(
     keys: Sequence[str],
     value: str,
     spread: str,
-    counted_values: int = COUNTED_VALUES,
 ) -> DataFrame:
     """Quartiles, whiskers at the last datum within reach, number of outliers.
 
     A whisker never ends inside the box: with no datum beyond the quartile it stops
     there.
     """
-    fenced = _with_fences(rows, keys, value, spread, counted_values)
+    fenced = _with_fences(rows, keys, value, spread)
     x = F.col(value)
     inside = x.between(F.col("_lower"), F.col("_upper"))
     lowest = F.min(F.when(inside, x))
@@ -243,9 +229,8 @@ def box_outliers(
     keys: Sequence[str],
     value: str,
     spread: str,
-    counted_values: int = COUNTED_VALUES,
 ) -> DataFrame:
     """The samples beyond the whiskers."""
-    fenced = _with_fences(rows, keys, value, spread, counted_values)
+    fenced = _with_fences(rows, keys, value, spread)
     inside = F.col(value).between(F.col("_lower"), F.col("_upper"))
     return fenced.where(~inside).select(*keys, spread, value)
