@@ -36,7 +36,14 @@ from wearlake.llm.shingles import Shingler, split_mix
 ROWS_PER_BAND = 5
 MISS = 1e-5
 SIGMAS = 6
-CENTRE_ROUNDS = 2
+# Further centres are tried, in turn, while comparing across components would make more
+# pairs than this for each member of a bucket.
+PAIRS_PER_MEMBER = 4
+CENTRES = ("max_by(doc_id, component)",)
+# Shingles whose frequency is known when rare ones are looked for, and those a task counts
+# at a time. They set the order of looking, not what is found.
+FREQUENT = 100_000
+HELD_SHINGLES = 4_000_000
 
 FEATURES = "doc_id long, n_shingles long, low long, high long, buckets array<long>, sketch binary"
 
@@ -141,34 +148,35 @@ class _Search:
 
     def __init__(self, docs: DataFrame, classes: DataFrame, percent: int, size: int):
         self.percent, self.size = percent, size
-        self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         self.sketches = classes.select("doc_id", "n_shingles", "sketch")
         # Most buckets hold one document; those are of no more use.
         every = classes.select("doc_id", F.explode("buckets").alias("bucket"))
         shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
         self.members = kept(every.join(kept(shared), "bucket", "left_semi"))
+        texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        self.texts = kept(texts.join(self.members.select("doc_id").distinct(), "doc_id", "left_semi"))
         self.links: DataFrame | None = None
         self.asked: DataFrame | None = None
 
-    def check(self, pairs: DataFrame) -> None:
-        """Confirm those of the pairs not asked before; keep their links."""
+    def check(self, pairs: DataFrame) -> int:
+        """Confirm those of the pairs not asked before; keep and count their links."""
         new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.asked is not None:
             new = new.join(self.asked, ["a", "b"], "left_anti")
         new = kept(_likely(new, self.sketches, self.percent).distinct())
-        ids = new.select(F.col("a").alias("doc_id")).union(new.select("b")).distinct()
-        texts = kept(self.docs.join(ids, "doc_id", "left_semi"))
-        found = kept(_confirmed(new, texts, self.percent, self.size))
+        found = kept(_confirmed(new, self.texts, self.percent, self.size))
         self.asked = new if self.asked is None else self.asked.unionByName(new)
         self.links = found if self.links is None else self.links.unionByName(found)
+        return found.count()
 
     def unsettled(self) -> DataFrame:
         """Members of buckets that hold several components, with their component."""
         parts = components(self.links)
-        placed = self.members.join(parts, F.col("doc_id") == F.col("node"), "left").select(
-            "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        placed = kept(
+            self.members.join(parts, F.col("doc_id") == F.col("node"), "left").select(
+                "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
+            )
         )
-        placed = kept(placed)
         split = kept(
             placed.groupBy("bucket")
             .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -186,20 +194,99 @@ def _around_centre(members: DataFrame, centre: str) -> DataFrame:
     return members.join(centres, "bucket").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of a bucket whose ends are in different components."""
-    left = members.select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    right = members.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-    return left.join(right, "bucket").where("a < b AND ca <> cb").select("a", "b")
+def _pairs_across(members: DataFrame) -> tuple[int, int]:
+    """Pairs of bucket members in different components, and the number of members."""
+    parts = members.groupBy("bucket", "component").agg(F.count("*").cast("decimal(38,0)").alias("n"))
+    buckets = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
+    found = buckets.agg(
+        F.sum((F.col("n") * F.col("n") - F.col("within")) / 2).alias("pairs"), F.sum("n").alias("members")
+    ).first()
+    return int(found["pairs"] or 0), int(found["members"] or 0)
+
+
+def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, in order of their hash, and their counts.
+
+    They only order shingles, so counts below two in a task may be left out.
+    """
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler, held = Shingler(size), []
+
+        def told() -> pd.DataFrame:
+            found, n = np.unique(np.concatenate(held or [np.empty(0, np.uint64)]), return_counts=True)
+            held.clear()
+            return pd.DataFrame({"shingle": found[n > 1].view(np.int64), "n": n[n > 1]})
+
+        total = 0
+        for batch in batches:
+            held += [shingler(text) for text in batch["text"]]
+            total += sum(map(len, held[-len(batch) :]))
+            if total > HELD_SHINGLES:
+                yield told()
+                total = 0
+        yield told()
+
+    counts = texts.mapInPandas(counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas().sort_values("shingle")
+    return top["shingle"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
+
+
+def _rest(unsettled: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
+    """Pairs of unsettled documents of different components that may still be linked.
+
+    Two sets that are similar enough share one of their rarest shingles: of the larger
+    set among those it can spare in any link, of the smaller one among those it can
+    spare in a link to a set of its size or more. The places of the shared shingle bound
+    how much the sets can have in common. So a busy group of documents gives few pairs,
+    and none that could be linked is left out.
+    """
+    placed = kept(unsettled.select("doc_id", "component").distinct())
+    chosen = kept(texts.join(placed, "doc_id"))
+    shared = chosen.sparkSession.sparkContext.broadcast(_frequent(chosen.select("text"), size))
+
+    def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler = Shingler(size)
+        frequent, times = shared.value
+        for batch in batches:
+            rows = []
+            for doc_id, component, text in zip(batch["doc_id"], batch["component"], batch["text"]):
+                own = shingler(text).view(np.int64)
+                at = np.searchsorted(frequent, own)
+                at[at == len(frequent)] = 0
+                known = frequent[at] == own if len(frequent) else np.zeros(len(own), bool)
+                often = np.where(known, times[at], 0) if len(frequent) else np.zeros(len(own))
+                n = len(own)
+                spare = n - -(-percent * n // 100) + 1
+                first = own[np.lexsort((own, often))][:spare]
+                rows.append(
+                    pd.DataFrame({"shingle": first, "doc_id": doc_id, "component": component, "n": n, "at": range(len(first))})
+                )
+            yield pd.concat(rows)
+
+    rows = kept(chosen.mapInPandas(rare, "shingle long, doc_id long, component long, n long, at long"))
+    small = rows.where(f"at <= n - ceil({2 * percent} * n / {100 + percent})").withColumnsRenamed(
+        {name: f"{name}_" for name in ("doc_id", "component", "n", "at")}
+    )
+    may = (
+        "component <> component_ AND (n_ < n OR n_ = n AND doc_id_ < doc_id)"
+        f" AND 100 * n_ >= {percent} * n AND {100 + percent} * least(n - at, n_ - at_) >= {percent} * (n + n_)"
+    )
+    found = small.join(rows.withColumnRenamed("shingle", "other"), (F.col("shingle") == F.col("other")) & F.expr(may))
+    return found.select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int, size: int = 5) -> DataFrame:
     """Links between class representatives that give the same components as all links."""
     search = _Search(docs, classes, percent, size)
     search.check(_around_centre(search.members, "min(doc_id)"))
-    for centre in ("max_by(doc_id, component)", "min_by(doc_id, xxhash64(component))")[:CENTRE_ROUNDS]:
-        search.check(_around_centre(search.unsettled(), centre))
-    search.check(_across(search.unsettled()))
+    unsettled = search.unsettled()
+    for centre in CENTRES:
+        pairs, members = _pairs_across(unsettled)
+        if pairs <= PAIRS_PER_MEMBER * members or not search.check(_around_centre(unsettled, centre)):
+            break
+        unsettled = search.unsettled()
+    search.check(_rest(unsettled, search.texts, percent, size))
     return search.links
 
 
