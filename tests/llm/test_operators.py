@@ -140,10 +140,10 @@ def test_scores_of_odd_rows(spark, odd, none):
             words.update([*language_model.word_list(r.text), "END"])
         total, different = sum(words.values()), len(words)
         assert len(found) == odd.count()
-        by_text = {r.text: r for r in odd.collect()}
-        assert {r.doc_id for r in found} == {r.doc_id for r in by_text.values()}
+        texts = {r.doc_id: r.text for r in odd.collect()}
+        assert {r.doc_id for r in found} == set(texts)
         for r in found:
-            text = next(x.text for x in odd.collect() if x.doc_id == r.doc_id)
+            text = texts[r.doc_id]
             tokens = [*language_model.word_list(text), "END"]
             base = sum(math.log10((words[t] + 0.1) / (total + 0.1 * (different + 1))) for t in tokens)
             assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(words[t] > 0 for t in tokens), total)

@@ -10,8 +10,9 @@ item's own (``verbatim``) or others (``reparameterised``).
 Everything is DataFrame code. Defined results: null texts have no windows, and so have
 items too short for one window unless the item is a whole window of its own length;
 items with fewer than ``LEAST_ITEM_TOKENS`` tokens and null ids are never found. A
-document with a null id is never reported. Rows that repeat an id, of documents or of
-items, count as one text with all their windows. Other columns do not matter.
+document with a null id is never reported. Of rows that repeat a document's id, the text
+that shares most is reported; items that repeat an id count as one text with all their
+windows. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -87,15 +88,15 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 
 def _document_windows(docs: DataFrame) -> DataFrame:
-    cut = docs.where(F.col("doc_id").isNotNull()).select("doc_id", template(F.col("text")).alias("tokens"))
-    return cut.select("doc_id", F.posexplode(_windows("tokens", WINDOW)).alias("at", "hash"))
+    cut = docs.select("doc_id", "t", template(F.col("text")).alias("tokens"))
+    return cut.select("doc_id", "t", F.posexplode(_windows("tokens", WINDOW)).alias("at", "hash"))
 
 
-def _slots(texts: DataFrame, key: str) -> DataFrame:
+def _slots(texts: DataFrame, *key: str) -> DataFrame:
     """``key``, token place, type and value of every placeholder of a text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = texts.select(
-        key,
+    found = texts.distinct().select(
+        *key,
         template(F.col("text")).alias("tokens"),
         F.regexp_extract_all(text, F.lit(_NUMBER), F.lit(0)).alias("numbers"),
         F.regexp_extract_all(_numbered(text), F.lit(_UNIT), F.lit(2)).alias("units"),
@@ -108,7 +109,7 @@ def _slots(texts: DataFrame, key: str) -> DataFrame:
         f" {values}), z -> named_struct('at', z.`0`, 'kind', '{kind}', 'value', z.{values}))"
         for kind, values in kinds
     ]
-    return found.select(key, F.explode(F.expr(f"concat({', '.join(zipped)})")).alias("s")).select(key, "s.*")
+    return found.select(*key, F.explode(F.expr(f"concat({', '.join(zipped)})")).alias("s")).select(*key, "s.*")
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -123,31 +124,33 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     hashes = wanted.select("hash").distinct()
     if hashes.count() <= BROADCAST_HASHES:
         hashes = F.broadcast(hashes)
-    hits = kept(_document_windows(docs).join(hashes, "hash", "left_semi").distinct())
+    pair = ["doc_id", "t", "item_id"]
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("t"), "text")
+    hits = kept(_document_windows(texts).join(hashes, "hash", "left_semi").distinct())
     # A document that repeats a passage meets each window of the item there; one place
     # for each shift is enough for lining up, so pairs stay within a document.
     met = hits.join(wanted.withColumnRenamed("at", "here"), "hash").select(
-        "doc_id", "item_id", "here", (F.col("at") - F.col("here")).alias("shift"), "n_windows"
+        "doc_id", "t", "item_id", "here", (F.col("at") - F.col("here")).alias("shift"), "n_windows"
     )
-    shared = met.groupBy("doc_id", "item_id", "n_windows").agg(F.count_distinct("here").alias("n_shared"))
+    shared = met.groupBy("doc_id", "t", "item_id", "n_windows").agg(F.count_distinct("here").alias("n_shared"))
     enough = kept(shared.where(F.col("n_shared") >= LEAST_SHARE * F.col("n_windows")))
-    aligned = met.join(enough.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
-    ranges = aligned.groupBy("doc_id", "item_id", "shift").agg(
+    aligned = met.join(enough.select(*pair), pair, "left_semi")
+    ranges = aligned.groupBy(*pair, "shift").agg(
         F.min("here").alias("low"), (F.max("here") + WINDOW - 1).alias("high")
     )
-    their = _slots(docs.join(enough.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
-    ours = _slots(items.join(enough.select("item_id").distinct(), "item_id", "left_semi"), "item_id")
+    their = _slots(texts.join(enough.select("doc_id", "t").distinct(), ["doc_id", "t"], "left_semi"), "doc_id", "t")
+    ours = _slots(items.select("item_id", "text").join(enough.select("item_id").distinct(), "item_id", "left_semi"), "item_id")
     lined = (
         ranges.join(ours.withColumnsRenamed({"value": "own", "at": "place"}), "item_id")
         .where("place BETWEEN low AND high")
         .withColumn("at", F.col("place") + F.col("shift"))
-        .join(their, ["doc_id", "at", "kind"])
+        .join(their, ["doc_id", "t", "at", "kind"])
     )
     # One value of the item in one document: how many values stand there instead.
-    values = lined.groupBy("doc_id", "item_id", "shift", "kind", "own").agg(
+    values = lined.groupBy(*pair, "shift", "kind", "own").agg(
         F.count_distinct("value").alias("meanings"), F.bool_or(F.lower("value") != F.lower("own")).alias("changed")
     )
-    checked = values.groupBy("doc_id", "item_id").agg(
+    checked = values.groupBy(*pair).agg(
         F.count("*").alias("n_slots"),
         F.count_if(F.col("changed")).alias("n_changed"),
         F.avg((F.col("meanings") == 1).cast("int")).alias("consistent"),
@@ -157,14 +160,18 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
         .when(F.col("consistent") >= LEAST_CONSISTENT, "reparameterised")
         .otherwise("inconsistent")
     )
-    filled = enough.join(checked, ["doc_id", "item_id"], "left").withColumns(
+    filled = enough.join(checked, pair, "left").withColumns(
         {
             "n_slots": F.coalesce("n_slots", F.lit(0)),
             "n_changed": F.coalesce("n_changed", F.lit(0)),
             "consistent": F.coalesce("consistent", F.lit(1.0)),
         }
     )
-    return filled.withColumn("verdict", verdict)
+    judged = filled.withColumn("verdict", verdict)
+    # Of rows that repeat an id, the text that shares most speaks for it.
+    told = F.struct("n_shared", "n_windows", "n_slots", "n_changed", "consistent", "verdict")
+    best = F.max_by(told, F.struct(F.col("verdict") != "inconsistent", "n_shared", F.col("verdict") == "verbatim", "t"))
+    return judged.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
