@@ -214,6 +214,18 @@ def _by_length(words: list[str], most: int = 2000) -> Iterator[np.ndarray]:
             yield part[start : start + step]
 
 
+def _gathered(batches: Iterator[pd.DataFrame], rows: int = 50_000) -> Iterator[pd.DataFrame]:
+    """Batches joined to larger ones, so that words of each length come in numbers."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _decoded(words) -> list[str]:
     return [bytes(word).decode("utf-8", "surrogatepass") for word in words]
 
@@ -251,7 +263,7 @@ def _expected(words: DataFrame, pieces: Pieces) -> np.ndarray:
     def expected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Pieces(*shared.value)
         into = np.zeros(len(own.prior))
-        for batch in batches:
+        for batch in _gathered(batches):
             texts, times = _decoded(batch["word"]), batch["n"].to_numpy(float)
             for part in _by_length(texts):
                 own.expect([texts[i] for i in part], times[part], into)
@@ -281,7 +293,7 @@ def _valued(words: DataFrame, pieces: Pieces, total: int, different: int) -> Dat
 
     def valued(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Pieces(*shared.value)
-        for batch in batches:
+        for batch in _gathered(batches):
             texts, value = _decoded(batch["word"]), np.zeros(len(batch))
             for part in _by_length(texts):
                 value[part] = own.likelihood([texts[i] for i in part])
