@@ -85,7 +85,7 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", least_word
     place = F.struct("d", "t", "fp_at")
     recurring = windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("fp")
     shared = windows.join(recurring, "fp", "left_semi")
-    start = F.struct("d", "t", "low")
+    start = F.struct(F.col("d").isNull().alias("nameless"), "d", "t", "low")
     first = shared.groupBy("k1", "k2").agg(F.min(start).alias("first"), F.max(start).alias("last"))
     # Written, so that Spark can split the copies of a common run in the join.
     first = kept(first.where("first < last").select("k1", "k2", "first"))
