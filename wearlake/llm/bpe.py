@@ -17,10 +17,8 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,15 +131,6 @@ class Vocabulary:
         self.shared = spark.sparkContext.broadcast((tokens, model_bytes(tokens), pattern))
 
 
-@lru_cache(maxsize=4)
-def _codec_of(key: int, shared: Broadcast) -> Codec:
-    return Codec(*shared.value)
-
-
-def _codec(shared: Broadcast) -> Codec:
-    return _codec_of(id(shared.value), shared)
-
-
 def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the ids of the whole text."""
     small_batches(df.sparkSession)
@@ -149,7 +138,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
 
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(shared)
+        codec = Codec(*shared.value)
         for batch in batches:
             yield pd.Series([codec.encode(value) for value in batch], dtype=object)
 
@@ -165,7 +154,7 @@ def decode(
 
     @F.pandas_udf("binary")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(shared)
+        codec = Codec(*shared.value)
         for batch in batches:
             yield pd.Series([codec.decode(value) for value in batch], dtype=object)
 
