@@ -172,7 +172,12 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 
 
 def passing(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the columns of ``docs`` only."""
-    verdict, whole = fresh(docs, "_kept", "_row")
+    """The rows of ``docs`` that the rules keep, with the columns of ``docs`` only.
+
+    The verdict is tied to a row number that is always at least 0, as Spark would else
+    move the filter below the counts and work each of them out many times over.
+    """
+    (whole,) = fresh(docs, "_row")
     judged = judge(docs.select(F.struct("*").alias(whole), F.col(text).alias(text)), text, rules)
-    return judged.withColumnRenamed("kept", verdict).where(verdict).select(f"{whole}.*")
+    fixed = F.when(F.monotonically_increasing_id() >= 0, F.col("kept"))
+    return judged.select(whole, fixed.alias("kept")).where("kept").select(f"{whole}.*")
