@@ -139,7 +139,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> D
 
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    both = pairs.join(right, "b").join(left, "a")
+    # Merge joins at every size: texts move once for each side, however few pairs there are.
+    both = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
     return both.select("a", "b", "ta", "tb").mapInPandas(similar, "a long, b long")
 
 
@@ -154,7 +155,7 @@ class _Search:
         shared = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
         self.members = kept(every.join(kept(shared), "bucket", "left_semi"))
         texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        self.texts = kept(texts.join(self.members.select("doc_id").distinct(), "doc_id", "left_semi"))
+        self.texts = kept(texts.join(self.members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
         self.links: DataFrame | None = None
         self.asked: DataFrame | None = None
 
@@ -242,7 +243,7 @@ def _rest(unsettled: DataFrame, texts: DataFrame, percent: int, size: int) -> Da
     and none that could be linked is left out.
     """
     placed = kept(unsettled.select("doc_id", "component").distinct())
-    chosen = kept(texts.join(placed, "doc_id"))
+    chosen = kept(texts.join(placed.hint("merge"), "doc_id"))
     shared = chosen.sparkSession.sparkContext.broadcast(_frequent(chosen.select("text"), size))
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
