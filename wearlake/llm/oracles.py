@@ -37,7 +37,7 @@ WITH base AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND word_chars / n_words BETWEEN 2.5 AND 15 AND n_symbols / n_words <= 0.1
         AND capitals / word_chars <= 0.4 AND stops / n_words >= 0.01
-        AND n_dup_lines / n_lines <= 0.3 AS kept
+        AND n_dup_lines / n_lines <= 0.5 AS kept
 FROM judged
 """,
     "op7_line_dedup": r"""

@@ -47,7 +47,7 @@ RULES = (
     Rule("symbols", "symbols_per_word", greatest=0.1),
     Rule("capitals", "capital_share", greatest=0.4),
     Rule("stop_words", "stop_word_share", least=0.01),
-    Rule("repeated_lines", "repeated_line_share", greatest=0.3),
+    Rule("repeated_lines", "repeated_line_share", greatest=0.5),
 )
 
 
