@@ -41,6 +41,7 @@ HELD_WORDS = 400_000
 # Longer words are walked character by character instead of as a table of all pieces.
 LONG_WORD = 256
 SMOOTHING = 0.1
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 RESULTS = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -49,6 +50,30 @@ def word_list(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+class _Table:
+    """Ids of strings by a 64-bit hash of their characters."""
+
+    def __init__(self, strings: dict[str, int]):
+        found = sorted((self._hash(string), i) for string, i in strings.items())
+        self.keys = np.array([h for h, _ in found], np.uint64)
+        self.ids = np.array([i for _, i in found], np.int32)
+
+    @staticmethod
+    def _hash(string: str) -> int:
+        total = 0
+        for character in string:
+            total = (total * int(_FACTOR) + ord(character) + 1) & 0xFFFFFFFFFFFFFFFF
+        return total
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """Ids of hashed strings, -1 for those that are none."""
+        if not len(self.keys):
+            return np.full(hashes.shape, -1, np.int32)
+        at = np.searchsorted(self.keys, hashes)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == hashes, self.ids[at], -1)
+
+
 class Pieces:
     """A vocabulary's pieces with log weights.
 
@@ -58,6 +83,7 @@ class Pieces:
 
     def __init__(self, heads: dict[str, int], inners: dict[str, int], prior: np.ndarray, weights: np.ndarray | None = None):
         self.heads, self.inners, self.prior = heads, inners, prior
+        self.head_table, self.inner_table = _Table(heads), _Table(inners)
         self.longest = max([1, *map(len, heads), *map(len, inners)])
         self.byte, self.end = len(prior) - 2, len(prior) - 1
         self.set(prior if weights is None else weights)
@@ -100,15 +126,16 @@ class Pieces:
         head = np.full((len(words), n + 1), -1, np.int32)
         inner = np.full((len(words), n, min(n, longest)), -1, np.int32)
         spelled = np.zeros((len(words), n), np.int32)
-        heads, inners = self.heads.get, self.inners.get
-        width = inner.shape[2]
-        ends = range(min(n, longest) + 1)
-        head[:, : len(ends)] = np.array([heads(word[:e], -1) for word in words for e in ends]).reshape(-1, len(ends))
-        spans = [(s, e) for s in range(n) for e in range(s + 1, min(n, s + width) + 1)]
-        if spans:
-            places = np.array(spans)
-            found = np.array([inners(word[s:e], -1) for word in words for s, e in spans], np.int32)
-            inner[:, places[:, 0], places[:, 1] - places[:, 0] - 1] = found.reshape(len(words), -1)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n)
+        sums = np.zeros((len(words), n + 1), np.uint64)
+        for i in range(n):
+            sums[:, i + 1] = sums[:, i] * _FACTOR + (codes[:, i] + np.uint64(1))
+        for e in range(min(n, longest) + 1):
+            head[:, e] = self.head_table(sums[:, e])
+        for k in range(1, inner.shape[2] + 1):
+            power = np.uint64(pow(int(_FACTOR), k, 1 << 64))
+            inner[:, : n - k + 1, k - 1] = self.inner_table(sums[:, k:] - sums[:, :-k] * power)
+        if n:
             for w, s in zip(*np.nonzero(inner[:, :, 0] < 0)):
                 spelled[w, s] = len(words[w][s].encode("utf-8", "surrogatepass"))
         return head, inner, spelled
