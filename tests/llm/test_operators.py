@@ -178,6 +178,25 @@ def test_templates_and_slots(spark, none):
     assert decontaminate.clean(docs, items.limit(0)).count() == docs.count()
 
 
+DENSE = "Each week Tom earns $15, Anna earns $20, Paul earns $25 and Maria earns $30, minus $5, $6, $7 and $8 in tax."
+SUM = "Compute 12 + 7 - 5 + 3 + 9 - 2 + 8 + 4 - 6 + 1"
+
+
+def verdicts(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id): r.verdict for r in decontaminate.matches(docs, frame).collect()}
+
+
+def test_items_dense_in_numbers(spark):
+    other = DENSE
+    for old, new in (("15", "35"), ("20", "40"), ("25", "45"), ("30", "50"), ("Tom", "Ada"), ("Anna", "Berta"), ("$8", "$1")):
+        other = other.replace(old, new)
+    texts = ["Before. " + DENSE + " After.", other, "So: " + SUM + " and so on.", SUM.replace("7", "70"), " ".join("1" * 60)]
+    found = verdicts(spark, [DENSE, SUM], texts)
+    assert found == {(0, 0): "verbatim", (1, 0): "reparameterised", (2, 1): "verbatim"}
+
+
 # ---- quality rules ------------------------------------------------------------------
 
 

@@ -1,18 +1,21 @@
 """Benchmark decontamination by templates.
 
 Texts are brought to a canonical form in which numbers, units after numbers and names
-are typed placeholders. Hashes of the windows of a benchmark item's template are joined
-with those of all documents. For a document and an item that share enough of the
-template, the values behind the placeholders are lined up: the question is the same one
-if equal values of the item always stand for equal values of the document, be they the
-item's own (``verbatim``) or others (``reparameterised``).
-
-Everything is DataFrame code. Defined results: null texts have no windows, and so have
-items too short for one window unless the item is a whole window of its own length;
-items with fewer than ``LEAST_ITEM_TOKENS`` tokens and null ids are never found. A
-document with a null id is never reported. Of rows that repeat a document's id, the text
-that shares most is reported; items that repeat an id count as one text with all their
-windows. Other columns do not matter.
+are typed placeholders. Hashes of the windows of a benchmark item's templates are joined with
+those of all documents. For a document and an item that share half of a template's
+windows, the values behind the placeholders are lined up: the
+question is the same one if equal values of the item always stand for equal values of the
+document, be they the item's own (``verbatim``) or others (``reparameterised``).
+
+A window has 8 tokens, or more until 5 of them are ordinary words. Items without such a
+window are looked for by windows of their words and numbers as they stand, in lower case,
+so only verbatim copies of these are found; items of fewer than 8 tokens are never found.
+
+Everything is DataFrame code. Defined results: null texts, and texts without a letter or
+a number, have no windows; null ids of items are never found. A document with a null id
+is never reported. Of rows that repeat a document's id, the text that shares most is
+reported; items that repeat an id count as one text with all their windows. Other columns
+do not matter.
 """
 
 from __future__ import annotations
@@ -23,8 +26,7 @@ from pyspark.sql import functions as F
 from wearlake.llm.common import kept
 
 WINDOW = 8
-LEAST_ITEM_TOKENS = 8
-# A window of placeholders alone says nothing: so many ordinary words are needed.
+# A window of placeholders alone says nothing: it grows until it holds so many ordinary words.
 LEAST_PLAIN = 5
 # The share of an item's windows that a document has to share.
 LEAST_SHARE = 0.5
@@ -42,7 +44,10 @@ _UNIT = (
     r"|grams?|kilograms?|tons?|lit(?:er|re)s?|l|ml|gallons?|hours?|hrs?|h|minutes?|min|seconds?|sec|s|days?|weeks?"
     r"|months?|years?|dollars?|euros?|cents?|pounds?|percent|[$€£%°])(?![\p{L}])"
 )
-_NAME = r"([\p{L}\p{Nd},;] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
+_NAME = r"(?<=[\p{L}\p{Nd},;] )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
+# Kinds of tokens: all placeholders, numbers alone as placeholders, words and numbers as they stand.
+TYPED, NUMBERED, EXACT = 1, 2, 3
+_PLACEHOLDERS = {TYPED: (NUMBER, NAME, UNIT)}
 
 
 def _numbered(text: Column) -> Column:
@@ -53,61 +58,144 @@ def _measured(text: Column) -> Column:
     return F.regexp_replace(_numbered(text), _UNIT, "$1 2 ")
 
 
-def template(text: Column) -> Column:
-    """The tokens of the canonical form; none for null."""
-    named = F.regexp_replace(_measured(F.coalesce(text, F.lit(""))), _NAME, "$1 1 ")
-    bare = F.regexp_replace(F.lower(named), r"[^\p{L}\p{M}0-2]+", " ")
-    inner = F.btrim(bare)
+def _parted(text: Column, kept_signs: str) -> Column:
+    inner = F.btrim(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{M}}{kept_signs}]+", " "))
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, " "))
 
 
-def _windows(tokens: str, size: int) -> Column:
-    """Hashes of all runs of ``size`` tokens of the column ``tokens``, in order."""
-    return F.expr(
-        f"""CASE WHEN size({tokens}) < {size} THEN CAST(array() AS ARRAY<BIGINT>)
-            ELSE transform(sequence(1, size({tokens}) - {size - 1}),
-                           i -> xxhash64(slice({tokens}, i, {size}))) END"""
-    )
+def template(text: Column, kind: int = TYPED) -> Column:
+    """The tokens of the canonical form; none for null."""
+    given = F.coalesce(text, F.lit(""))
+    if kind == TYPED:
+        return _parted(F.regexp_replace(_measured(given), _NAME, " 1 "), "0-2")
+    return _parted(_numbered(given), "0") if kind == NUMBERED else _parted(given, r"\p{N}")
 
 
-def _plain_enough(tokens: str) -> str:
-    return (
-        f"size(filter(slice({tokens}, at + 1, {WINDOW}), x -> x NOT IN ('{NUMBER}', '{NAME}', '{UNIT}'))) >= {LEAST_PLAIN}"
-    )
+def _coded(text: Column, kind: int) -> Column:
+    """Hashes of the tokens; windows are hashed from these."""
+    return F.transform(template(text, kind), lambda x: F.xxhash64(x))
+
+
+def _is_plain(kind: int) -> str:
+    return f"NOT IN ({', '.join(f'xxhash64({x!r})' for x in _PLACEHOLDERS[kind])})"
+
+
+def _grown(codes: str, kind: int, longest: int, at: str) -> str:
+    """Tokens from place ``at`` (from 1) up to the last ordinary word needed; null if there are too few."""
+    return f"""get(filter(transform(slice({codes}, {at}, {longest}), (x, n) -> CASE WHEN x {_is_plain(kind)} THEN n + 1 END),
+                       n -> n IS NOT NULL), {LEAST_PLAIN - 1})"""
+
+
+def _windows(codes: str, kind: int, starts: str, length: str) -> str:
+    """``kind``, ``at``, ``length`` and ``hash`` of the windows at ``starts`` (from 1), as SQL.
+
+    ``length`` is an expression of the place ``i``; where it is null there is no window.
+    """
+    return f"""transform(filter(transform({starts}, i -> named_struct('i', i, 'length', CAST({length} AS INT))), w -> w.length IS NOT NULL),
+        w -> named_struct('kind', {kind}, 'at', w.i - 1, 'length', w.length, 'hash', xxhash64({kind}, slice({codes}, w.i, w.length))))"""
+
+
+def _places(codes: str, size: int) -> str:
+    return f"CASE WHEN size({codes}) < {size} THEN CAST(array() AS ARRAY<INT>) ELSE sequence(1, size({codes}) - {size - 1}) END"
+
+
+def _own_windows(codes: str, kind: int, longest: int) -> str:
+    """Windows that say something: of ``WINDOW`` tokens, or more until ``LEAST_PLAIN`` of them are ordinary words.
+
+    A window depends on its own tokens only, so equal passages have equal windows.
+    """
+    length = f"greatest({WINDOW}, {_grown(codes, kind, longest, 'i')})"
+    enough = f"CASE WHEN {_grown(codes, kind, longest, 'i')} IS NOT NULL THEN {length} END"
+    return _windows(codes, kind, _places(codes, WINDOW), enough)
+
+
+def _all_windows(codes: str, kind: int, size: int) -> str:
+    """``kind``, ``at`` and ``hash`` of all runs of ``size`` tokens."""
+    return f"""transform({_places(codes, size)}, i -> named_struct('kind', {kind}, 'at', i - 1, 'hash', xxhash64({kind}, slice({codes}, i, {size}))))"""
+
+
+def _long_windows(codes: str, kind: int, longest: int) -> str:
+    """``kind``, ``at`` and ``hash`` of the windows that had to grow.
+
+    Only a place with so many placeholders near that a window lacks words is looked at;
+    ``q{kind}`` are the places of placeholders.
+    """
+    q, more = f"q{kind}", WINDOW - LEAST_PLAIN
+    starts = f"""CASE WHEN size({q}) <= {more} THEN CAST(array() AS ARRAY<INT>) ELSE array_distinct(flatten(transform(
+        sequence(0, size({q}) - {more + 1}),
+        k -> CASE WHEN {q}[k + {more}] - {q}[k] < {WINDOW} THEN sequence(greatest(1, {q}[k + {more}] - {WINDOW - 2}), {q}[k] + 1)
+             ELSE CAST(array() AS ARRAY<INT>) END))) END"""
+    grown = _windows(codes, kind, starts, _grown(codes, kind, longest, "i"))
+    return f"transform({grown}, w -> named_struct('kind', w.kind, 'at', w.at, 'hash', w.hash))"
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """``item_id``, ``at``, ``hash`` and ``n_windows`` of the windows that say something."""
-    cut = items.where(F.col("item_id").isNotNull()).select("item_id", template(F.col("text")).alias("tokens"))
-    each = cut.where(F.size("tokens") >= LEAST_ITEM_TOKENS).select(
-        "item_id", "tokens", F.posexplode(_windows("tokens", WINDOW)).alias("at", "hash")
+    """``item_id``, ``kind``, ``at``, ``length``, ``upto``, ``hash`` and ``n_windows`` of an item's windows.
+
+    ``upto`` is the last token the window speaks for: its own, or the item's if no window
+    follows. Items without a window that says something have windows of exact tokens.
+    """
+    kinds = (TYPED, NUMBERED, EXACT)
+    given = items.where(F.col("item_id").isNotNull()).select(
+        "item_id", *(_coded(F.col("text"), kind).alias(f"k{kind}") for kind in kinds)
+    )
+    # No window of an item is longer than the item.
+    longest = given.agg(F.max(F.greatest(F.size(f"k{TYPED}"), F.size(f"k{NUMBERED}")))).first()[0] or WINDOW
+    said = F.expr(f"concat({', '.join(_own_windows(f'k{kind}', kind, max(longest, WINDOW)) for kind in _PLACEHOLDERS)})")
+    exact = f"k{EXACT}"
+    size = f"least({WINDOW}, size({exact}))"
+    own = F.expr(f"CASE WHEN size({exact}) >= {WINDOW} THEN {_windows(exact, EXACT, f'sequence(1, size({exact}) - {size} + 1)', size)} END")
+    cut = given.withColumn("said", said)
+    each = cut.select("*", F.explode(F.when(F.size("said") > 0, F.col("said")).otherwise(own)).alias("w"))
+    last = F.expr(f"size(CASE w.kind WHEN {TYPED} THEN k{TYPED} WHEN {NUMBERED} THEN k{NUMBERED} ELSE {exact} END) - 1")
+    each = each.select("item_id", "w.*", last.alias("last")).distinct()
+    total = each.groupBy("item_id", "kind").agg(
+        F.count("*").alias("n_windows"), F.max(F.struct("last", "at")).alias("end")
+    )
+    upto = F.when((F.col("end.at") == F.col("at")) & (F.col("end.last") == F.col("last")), F.col("last")).otherwise(
+        F.col("at") + F.col("length") - 1
     )
-    good = each.where(F.expr(_plain_enough("tokens"))).select("item_id", "at", "hash").distinct()
-    total = good.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return good.join(total, "item_id")
+    return each.join(total, ["item_id", "kind"]).select("item_id", "kind", "at", "length", upto.alias("upto"), "hash", "n_windows")
 
 
-def _document_windows(docs: DataFrame) -> DataFrame:
-    cut = docs.select("doc_id", "t", template(F.col("text")).alias("tokens"))
-    return cut.select("doc_id", "t", F.posexplode(_windows("tokens", WINDOW)).alias("at", "hash"))
+def _document_windows(docs: DataFrame, asked: dict[int, list[int]]) -> DataFrame:
+    """Windows of the kinds and lengths that ``asked`` names."""
+    cut = docs.select("doc_id", "t", *(_coded(F.col("text"), kind).alias(f"k{kind}") for kind in asked))
+    parts = []
+    for kind, lengths in asked.items():
+        parts += [_all_windows(f"k{kind}", kind, n) for n in (lengths if kind == EXACT else [WINDOW])]
+        if kind != EXACT and max(lengths) > WINDOW:
+            places = f"filter(transform(k{kind}, (x, i) -> CASE WHEN NOT (x {_is_plain(kind)}) THEN i END), i -> i IS NOT NULL)"
+            cut = cut.withColumn(f"q{kind}", F.expr(places))
+            parts.append(_long_windows(f"k{kind}", kind, max(lengths)))
+    if not parts:
+        return docs.select("doc_id", "t", F.expr("0 AS kind"), F.expr("0 AS at"), F.expr("0L AS hash")).limit(0)
+    each = cut.select("doc_id", "t", F.explode(F.expr(f"concat({', '.join(parts)})")).alias("w"))
+    return each.select("doc_id", "t", "w.*")
 
 
 def _slots(texts: DataFrame, *key: str) -> DataFrame:
-    """``key``, token place, type and value of every placeholder of a text."""
+    """``key``, ``kind``, token place, type and value of every placeholder of a text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     found = texts.distinct().select(
         *key,
-        template(F.col("text")).alias("tokens"),
+        template(F.col("text"), TYPED).alias("typed"),
+        template(F.col("text"), NUMBERED).alias("numbered"),
         F.regexp_extract_all(text, F.lit(_NUMBER), F.lit(0)).alias("numbers"),
         F.regexp_extract_all(_numbered(text), F.lit(_UNIT), F.lit(2)).alias("units"),
-        F.regexp_extract_all(_measured(text), F.lit(_NAME), F.lit(2)).alias("names"),
+        F.transform(
+            F.regexp_extract_all(_measured(text), F.lit(_NAME), F.lit(0)), lambda x: F.regexp_replace(x, r"\s+", " ")
+        ).alias("names"),
     )
     # The n-th token of a type stands for the n-th value of that type.
-    kinds = [(NUMBER, "numbers"), (UNIT, "units"), (NAME, "names")]
+    types = [
+        (TYPED, "typed", NUMBER, "numbers"), (TYPED, "typed", UNIT, "units"), (TYPED, "typed", NAME, "names"),
+        (NUMBERED, "numbered", NUMBER, "numbers"),
+    ]
     zipped = [
-        f"transform(arrays_zip(filter(transform(tokens, (x, i) -> CASE WHEN x = '{kind}' THEN i END), p -> p IS NOT NULL),"
-        f" {values}), z -> named_struct('at', z.`0`, 'kind', '{kind}', 'value', z.{values}))"
-        for kind, values in kinds
+        f"transform(arrays_zip(filter(transform({tokens}, (x, i) -> CASE WHEN x = '{type_}' THEN i END), p -> p IS NOT NULL),"
+        f" {values}), z -> named_struct('kind', {kind}, 'at', z.`0`, 'type', '{type_}', 'value', z.{values}))"
+        for kind, tokens, type_, values in types
     ]
     return found.select(*key, F.explode(F.expr(f"concat({', '.join(zipped)})")).alias("s")).select(*key, "s.*")
 
@@ -121,33 +209,34 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     inconsistent).
     """
     wanted = kept(item_windows(items))
+    lengths = wanted.groupBy("kind").agg(F.collect_set("length").alias("lengths"), F.count_distinct("hash").alias("n")).collect()
+    asked = {r.kind: sorted(r.lengths) for r in sorted(lengths)}
     hashes = wanted.select("hash").distinct()
-    if hashes.count() <= BROADCAST_HASHES:
+    if sum(r.n for r in lengths) <= BROADCAST_HASHES:
         hashes = F.broadcast(hashes)
-    pair = ["doc_id", "t", "item_id"]
+    pair = ["doc_id", "t", "item_id", "kind"]
     texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("t"), "text")
-    hits = kept(_document_windows(texts).join(hashes, "hash", "left_semi").distinct())
+    hits = kept(_document_windows(texts, asked).join(hashes, "hash", "left_semi").distinct())
     # A document that repeats a passage meets each window of the item there; one place
     # for each shift is enough for lining up, so pairs stay within a document.
-    met = hits.join(wanted.withColumnRenamed("at", "here"), "hash").select(
-        "doc_id", "t", "item_id", "here", (F.col("at") - F.col("here")).alias("shift"), "n_windows"
+    met = hits.join(wanted.withColumnRenamed("at", "here"), ["kind", "hash"]).select(
+        *pair, "here", "upto", (F.col("at") - F.col("here")).alias("shift"), "n_windows"
     )
-    shared = met.groupBy("doc_id", "t", "item_id", "n_windows").agg(F.count_distinct("here").alias("n_shared"))
-    enough = kept(shared.where(F.col("n_shared") >= LEAST_SHARE * F.col("n_windows")))
+    shared = met.groupBy(*pair, "n_windows").agg(F.count_distinct("here").alias("n_shared"))
+    whole = F.col("n_shared") >= LEAST_SHARE * F.col("n_windows")
+    enough = kept(shared.where(whole))
     aligned = met.join(enough.select(*pair), pair, "left_semi")
-    ranges = aligned.groupBy(*pair, "shift").agg(
-        F.min("here").alias("low"), (F.max("here") + WINDOW - 1).alias("high")
-    )
+    ranges = aligned.groupBy(*pair, "shift").agg(F.min("here").alias("low"), F.max("upto").alias("high"))
     their = _slots(texts.join(enough.select("doc_id", "t").distinct(), ["doc_id", "t"], "left_semi"), "doc_id", "t")
     ours = _slots(items.select("item_id", "text").join(enough.select("item_id").distinct(), "item_id", "left_semi"), "item_id")
     lined = (
-        ranges.join(ours.withColumnsRenamed({"value": "own", "at": "place"}), "item_id")
+        ranges.join(ours.withColumnsRenamed({"value": "own", "at": "place"}), ["item_id", "kind"])
         .where("place BETWEEN low AND high")
         .withColumn("at", F.col("place") + F.col("shift"))
-        .join(their, ["doc_id", "t", "at", "kind"])
+        .join(their, ["doc_id", "t", "kind", "at", "type"])
     )
     # One value of the item in one document: how many values stand there instead.
-    values = lined.groupBy(*pair, "shift", "kind", "own").agg(
+    values = lined.groupBy(*pair, "shift", "type", "own").agg(
         F.count_distinct("value").alias("meanings"), F.bool_or(F.lower("value") != F.lower("own")).alias("changed")
     )
     checked = values.groupBy(*pair).agg(
@@ -168,10 +257,18 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
         }
     )
     judged = filled.withColumn("verdict", verdict)
-    # Of rows that repeat an id, the text that shares most speaks for it.
     told = F.struct("n_shared", "n_windows", "n_slots", "n_changed", "consistent", "verdict")
-    best = F.max_by(told, F.struct(F.col("verdict") != "inconsistent", "n_shared", F.col("verdict") == "verbatim", "t"))
-    return judged.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
+    # All placeholders tell most, unless the words and numbers of the whole item are there.
+    counts = F.col("verdict") != "inconsistent"
+    same = (F.col("kind") != TYPED) & (F.col("verdict") == "verbatim") & (F.col("n_shared") == F.col("n_windows"))
+    by_text = judged.groupBy("doc_id", "item_id", "t").agg(
+        F.max_by(told, F.struct(counts, same, -F.col("kind"))).alias("best")
+    )
+    # Of rows that repeat an id, the text that shares most speaks for it.
+    share = F.col("best.n_shared") / F.col("best.n_windows")
+    most = F.struct(F.col("best.verdict") != "inconsistent", share, F.col("best.verdict") == "verbatim", "t")
+    found = by_text.groupBy("doc_id", "item_id").agg(F.max_by("best", most).alias("best"))
+    return found.select("doc_id", "item_id", "best.*")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
