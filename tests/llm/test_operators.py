@@ -197,6 +197,22 @@ def test_items_dense_in_numbers(spark):
     assert found == {(0, 0): "verbatim", (1, 0): "reparameterised", (2, 1): "verbatim"}
 
 
+NAMES = (
+    "When Tom met Anna near the old mill, Paul and Maria were rowing with Peter while Clara painted and Oscar slept; "
+    "later Nina told Simon that Bruno had lost everything."
+)
+
+
+def test_items_in_other_case_and_wrapped(spark):
+    wrapped = NAMES
+    for name in ("Anna", "Maria", "Clara", "Simon"):
+        wrapped = wrapped.replace(" " + name, "\n " + name)
+    first = "Tom has many red apples in the basket. Anna takes some of them home. Paul eats the rest at night."
+    texts = [NAMES, wrapped, NAMES.lower(), ITEM.upper(), first.replace("Tom", "Berta").replace("Anna", "Ivo").replace("Paul", "Ada")]
+    found = verdicts(spark, [NAMES, ITEM, first], texts)
+    assert found == {(0, 0): "verbatim", (1, 0): "verbatim", (2, 0): "verbatim", (3, 1): "verbatim", (4, 2): "reparameterised"}
+
+
 # ---- quality rules ------------------------------------------------------------------
 
 

@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates.
 
 Texts are brought to a canonical form in which numbers, units after numbers and names
-are typed placeholders. Hashes of the windows of a benchmark item's templates are joined with
+(all words in Xx case) are typed placeholders, and to a second one in lower case in which
+numbers alone are. Hashes of the windows of a benchmark item's templates are joined with
 those of all documents. For a document and an item that share half of a template's
 windows, the values behind the placeholders are lined up: the
 question is the same one if equal values of the item always stand for equal values of the
@@ -44,10 +45,10 @@ _UNIT = (
     r"|grams?|kilograms?|tons?|lit(?:er|re)s?|l|ml|gallons?|hours?|hrs?|h|minutes?|min|seconds?|sec|s|days?|weeks?"
     r"|months?|years?|dollars?|euros?|cents?|pounds?|percent|[$€£%°])(?![\p{L}])"
 )
-_NAME = r"(?<=[\p{L}\p{Nd},;] )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
+_NAME = r"(?<![\p{L}\p{M}])\p{Lu}\p{Ll}+(?:\s+\p{Lu}\p{Ll}+)*"
 # Kinds of tokens: all placeholders, numbers alone as placeholders, words and numbers as they stand.
 TYPED, NUMBERED, EXACT = 1, 2, 3
-_PLACEHOLDERS = {TYPED: (NUMBER, NAME, UNIT)}
+_PLACEHOLDERS = {TYPED: (NUMBER, NAME, UNIT), NUMBERED: (NUMBER,)}
 
 
 def _numbered(text: Column) -> Column:
