@@ -213,6 +213,17 @@ def test_items_in_other_case_and_wrapped(spark):
     assert found == {(0, 0): "verbatim", (1, 0): "verbatim", (2, 0): "verbatim", (3, 1): "verbatim", (4, 2): "reparameterised"}
 
 
+def test_parts_of_items_and_short_items(spark):
+    long_item = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59))
+    part = long_item.split()
+    short = "What is the capital of France?"
+    texts = [
+        "x " + " ".join(part[20:50]) + " y", " ".join(part[7:20]), " ".join(part[7:19]),
+        "He asked: what is the\ncapital of France? Paris.", "What is the capital of Spain?",
+    ]
+    assert verdicts(spark, [long_item, short, "?!"], texts) == {(0, 0): "verbatim", (1, 0): "verbatim", (3, 1): "verbatim"}
+
+
 # ---- quality rules ------------------------------------------------------------------
 
 

@@ -4,13 +4,14 @@ Texts are brought to a canonical form in which numbers, units after numbers and
 (all words in Xx case) are typed placeholders, and to a second one in lower case in which
 numbers alone are. Hashes of the windows of a benchmark item's templates are joined with
 those of all documents. For a document and an item that share half of a template's
-windows, the values behind the placeholders are lined up: the
+windows, or a run of 13 tokens, the values behind the placeholders are lined up: the
 question is the same one if equal values of the item always stand for equal values of the
 document, be they the item's own (``verbatim``) or others (``reparameterised``).
 
 A window has 8 tokens, or more until 5 of them are ordinary words. Items without such a
-window are looked for by windows of their words and numbers as they stand, in lower case,
-so only verbatim copies of these are found; items of fewer than 8 tokens are never found.
+window (shorter ones, or with fewer ordinary words) are looked for by windows of their
+words and numbers as they stand, in lower case, of 8 tokens or of the item's length, so
+only verbatim copies of these are found; an item of one word is found wherever that word is.
 
 Everything is DataFrame code. Defined results: null texts, and texts without a letter or
 a number, have no windows; null ids of items are never found. A document with a null id
@@ -31,6 +32,8 @@ WINDOW = 8
 LEAST_PLAIN = 5
 # The share of an item's windows that a document has to share.
 LEAST_SHARE = 0.5
+# Or so many windows of one shift, 13 tokens in a row.
+LEAST_RUN = 6
 # The share of an item's values that have to be replaced consistently.
 LEAST_CONSISTENT = 0.8
 # Hashes of item windows are broadcast up to this number (16 bytes each), joined by
@@ -145,7 +148,7 @@ def item_windows(items: DataFrame) -> DataFrame:
     said = F.expr(f"concat({', '.join(_own_windows(f'k{kind}', kind, max(longest, WINDOW)) for kind in _PLACEHOLDERS)})")
     exact = f"k{EXACT}"
     size = f"least({WINDOW}, size({exact}))"
-    own = F.expr(f"CASE WHEN size({exact}) >= {WINDOW} THEN {_windows(exact, EXACT, f'sequence(1, size({exact}) - {size} + 1)', size)} END")
+    own = F.expr(f"CASE WHEN size({exact}) > 0 THEN {_windows(exact, EXACT, f'sequence(1, size({exact}) - {size} + 1)', size)} END")
     cut = given.withColumn("said", said)
     each = cut.select("*", F.explode(F.when(F.size("said") > 0, F.col("said")).otherwise(own)).alias("w"))
     last = F.expr(f"size(CASE w.kind WHEN {TYPED} THEN k{TYPED} WHEN {NUMBERED} THEN k{NUMBERED} ELSE {exact} END) - 1")
@@ -224,8 +227,9 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
         *pair, "here", "upto", (F.col("at") - F.col("here")).alias("shift"), "n_windows"
     )
     shared = met.groupBy(*pair, "n_windows").agg(F.count_distinct("here").alias("n_shared"))
+    runs = met.groupBy(*pair, "shift").agg(F.count_distinct("here").alias("run")).groupBy(*pair).agg(F.max("run").alias("run"))
     whole = F.col("n_shared") >= LEAST_SHARE * F.col("n_windows")
-    enough = kept(shared.where(whole))
+    enough = kept(shared.join(runs, pair).where(whole | (F.col("run") >= LEAST_RUN)).drop("run"))
     aligned = met.join(enough.select(*pair), pair, "left_semi")
     ranges = aligned.groupBy(*pair, "shift").agg(F.min("here").alias("low"), F.max("upto").alias("high"))
     their = _slots(texts.join(enough.select("doc_id", "t").distinct(), ["doc_id", "t"], "left_semi"), "doc_id", "t")
