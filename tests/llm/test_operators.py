@@ -438,6 +438,13 @@ def test_chat_layouts(spark):
     assert chat.rendered(chat.turns_of(df.limit(0))).collect() == []
 
 
+def test_chat_text_too_long_for_the_parser(spark):
+    text = F.concat(F.lit('{"prompt":"'), F.repeat(F.lit("x"), 20_000_100), F.lit('","response":"y"}'))
+    df = spark.range(7, 8).withColumn("record", text)
+    with pytest.raises(Exception, match="record 7"):
+        chat.turns_of(df, key="id").select(F.size("turns")).collect()
+
+
 # ---- near-duplicates ----------------------------------------------------------------
 
 

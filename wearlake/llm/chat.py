@@ -8,8 +8,9 @@ look like a control string, and taking one bar away restores it. The loss mask h
 places of the assistant's texts, in code points.
 
 Everything is Spark SQL. Defined results: null texts and roles are empty texts; a record
-that is null, no JSON or of an unknown layout has a null layout and no turns; an empty
-list of messages has no turns. Repeated records are formatted each for itself, and
+that is null, no JSON or of an unknown layout has a null layout and no turns; a record of
+over 20,000,000 bytes that cannot be parsed stops the job, as Spark's parser gives null for
+a longer text; an empty list of messages has no turns. Repeated records are formatted each for itself, and
 columns of the input with the names of results are replaced.
 """
 
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
+# Spark's parser gives null for a JSON string with more characters than this.
+PARSER_LIMIT = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -94,8 +97,13 @@ def fingerprint(record: Column) -> Column:
     return F.when(found.isNotNull(), F.xxhash64(found))
 
 
-def turns_of(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``records`` with ``fingerprint``, ``layout`` and canonical ``turns``."""
+def turns_of(
+    records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS, key: str | None = None
+) -> DataFrame:
+    """``records`` with ``fingerprint``, ``layout`` and canonical ``turns``.
+
+    Errors name the record by its column ``key``.
+    """
     prints = {layout: fingerprint(F.lit(layout.shape)) for layout in layouts}
     named = F.lit(None).cast("string")
     chosen = F.lit(None).cast(TURNS)
@@ -103,6 +111,14 @@ def turns_of(records: DataFrame, record: str = "record", layouts: tuple[Layout,
         same = F.col("fingerprint") == prints[layout]
         named = F.when(same, F.lit(layout.name)).otherwise(named)
         chosen = F.when(same, F.expr(layout.turns).cast(TURNS)).otherwise(chosen)
+    # Bytes are never fewer than the characters the parser counts.
+    unread = F.col("fingerprint").isNull() & (F.octet_length(record) > PARSER_LIMIT)
+    name = F.coalesce(F.col(key).cast("string"), F.lit("null")) if key else F.lit("without a key")
+    stop = F.raise_error(
+        F.concat(F.lit("record "), name, F.lit(f": no JSON, or a text of over {PARSER_LIMIT} characters, which is not read"))
+    )
+    named = F.when(unread, stop.cast("string")).otherwise(named)
+    chosen = F.when(unread, stop.cast(TURNS)).otherwise(chosen)
     marked = records.withColumn("fingerprint", fingerprint(F.col(record)))
     parsed = marked.withColumn("v", F.try_parse_json(record))
     clean = F.expr("transform(turns, t -> named_struct('role', coalesce(t.role, ''), 'text', coalesce(t.text, '')))")

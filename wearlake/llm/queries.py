@@ -171,7 +171,7 @@ def _conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and what can be read back from it."""
-    out = chat.rendered(chat.turns_of(_conversation_records(spark, sf_dir)))
+    out = chat.rendered(chat.turns_of(_conversation_records(spark, sf_dir), key="conv_id"))
     told = F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     back = out.withColumns(
         {
