@@ -1,4 +1,4 @@
-"""Exact removal of long repeated strings, by prefix doubling over seed positions.
+"""Exact removal of long repeated strings, by grouping runs of seed positions.
 
 Wanted is every byte covered by a string of ``length`` bytes that also starts elsewhere.
 Plain prefix doubling ranks every byte position; here only few of them are sorted. Every
