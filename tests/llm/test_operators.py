@@ -407,6 +407,16 @@ def test_url_lists(spark):
     for r in found:
         assert ",".join(r.hits) == r.expected and r.blocked == bool(r.expected) and r.list == 1
     assert url_lists.evaluate(captures.limit(0), entries).collect() == []
+
+
+def test_url_lists_within_a_day(spark):
+    day = "2024-01-10"
+    entries = spark.createDataFrame(
+        [("a.example.com", "hosts", action, f"{day} {hour}:00:00") for action, hour in (("add", "08"), ("remove", "12"), ("add", "18"))],
+        "pattern string, list string, action string, dated string",
+    )
+    captures = spark.createDataFrame([(h, "http://a.example.com", f"{day} {h:02}:00:00") for h in (7, 9, 12, 17, 18, 23)], "h int, url string, fetched string")
+    assert {r.h for r in url_lists.evaluate(captures, entries).collect() if r.blocked} == {9, 18, 23}
     assert all(not r.blocked for r in url_lists.evaluate(captures, entries.limit(0)).collect())
 
 

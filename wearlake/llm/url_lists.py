@@ -3,11 +3,10 @@
 List entries say from when a pattern is on or off a list; they become half-open
 intervals. A capture is judged by the entries in force when it was fetched: its host,
 each parent domain, and its host with each leading path are looked up by equality, the
-time by the interval. A pattern has at most one state a day, so its history is bounded
-by days; captures of a busy host are split by Spark where the join is skewed.
+time by the interval, to the microsecond; a day is its first moment. Captures of a busy host are split by Spark where the join is skewed.
 
 Defined results: a capture without a readable host or without a time has no hits; an
-entry with a null pattern, list or day is ignored; on one day a removal wins over an
+entry with a null pattern, list or time is ignored; at one moment a removal wins over an
 addition. Repeated captures get the same verdict each. Patterns match in lower case.
 """
 
@@ -30,12 +29,12 @@ def validity(entries: DataFrame) -> DataFrame:
         F.col("pattern").isNotNull() & F.col("list").isNotNull() & F.col("dated").isNotNull()
         & F.col("action").isin(ADD, REMOVE)
     )
-    daily = known.groupBy(
-        F.lower("pattern").alias("pattern"), "list", F.to_date("dated").alias("since")
+    states = known.groupBy(
+        F.lower("pattern").alias("pattern"), "list", F.to_timestamp("dated").alias("since")
     ).agg(F.max("action").alias("action"))
     history = Window.partitionBy("pattern", "list").orderBy("since")
     return (
-        daily.withColumn("until", F.lead("since").over(history))
+        states.withColumn("until", F.lead("since").over(history))
         .where(F.col("action") == ADD)
         .select("pattern", "list", "since", "until")
     )
@@ -70,7 +69,7 @@ def keys(url: Column) -> Column:
 def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
     """``captures`` with ``hits``, the ordered ``list:pattern`` in force, and ``blocked``."""
     address, moment, key = fresh(captures, "_url", "_fetched", "_key")
-    visits = captures.select(F.col(url).alias(address), F.to_date(fetched).alias(moment)).where(
+    visits = captures.select(F.col(url).alias(address), F.to_timestamp(fetched).alias(moment)).where(
         F.col(address).isNotNull() & F.col(moment).isNotNull()
     )
     wanted = visits.withColumn(key, F.explode(keys(F.col(address))))
@@ -84,7 +83,7 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
         .groupBy(address, moment)
         .agg(F.sort_array(F.collect_set("_hit")).alias("_hits"))
     )
-    same = (captures[url] == found[address]) & (F.to_date(captures[fetched]) == found[moment])
+    same = (captures[url] == found[address]) & (F.to_timestamp(captures[fetched]) == found[moment])
     hits = F.coalesce(F.col("_hits"), F.array().cast("array<string>"))
     return captures.join(found, same, "left").withColumns(
         {"hits": hits, "blocked": F.size(hits) > 0}
