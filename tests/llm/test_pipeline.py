@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLES) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
 

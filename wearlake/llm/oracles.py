@@ -117,5 +117,64 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length('<|im_start|>' || role || chr(10)
         || regexp_replace(text, '<(\|+)', '<|\1', 'g') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
 FROM told GROUP BY conv_id
+""",
+    "op11_prefix_trie": r"""
+WITH lists AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY at) AS t
+    FROM (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS at
+          FROM conversations WHERE conv_id IS NOT NULL)
+    GROUP BY conv_id
+), hashed AS (
+    SELECT conv_id, t, conv_id - conv_id % 100 AS base,
+        xor(list_reduce(
+            list_prepend(4294967295::BIGINT,
+                list_transform(range(1, len(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+            lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384::BIGINT))
+        ), 4294967295::BIGINT) % 6 AS h
+    FROM lists
+), rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(b.t[1:a.h], []), a.t[a.h + 1:]) AS s
+    FROM hashed AS a LEFT JOIN lists AS b ON b.conv_id = a.base
+), nodes AS (
+    SELECT s[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = depth), '') AS ends
+    FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM rebuilt)
+    GROUP BY 1, 2
+), kids AS (
+    SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), valued AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children,
+        CASE WHEN nodes.depth > 0 THEN (n_convs - 1) * length(nodes.p[nodes.depth].text) ELSE 0 END AS own
+    FROM nodes LEFT JOIN kids ON kids.p = nodes.p AND kids.depth = nodes.depth
+), below AS (
+    SELECT p[1:up] AS p, up AS depth, sum(own) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT p, own, n_children, unnest(range(0, depth + 1)) AS up FROM valued) GROUP BY 1, 2
+)
+SELECT v.conv_id, v.depth, parent.conv_id AS parent_conv_id, v.n_convs, v.n_children, below.n_leaves,
+    CAST(below.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued AS v JOIN below ON below.p = v.p AND below.depth = v.depth
+LEFT JOIN nodes AS parent ON parent.p = v.p[1:v.depth - 1] AND parent.depth = v.depth - 1
+""",
+    "op13_hard_negatives": """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors AS a JOIN vectors AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
 """,
 }

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearlake.llm import bpe, chat, decontaminate, language_model, line_dedup, minhash, quality_model, quality_rules, suffix_dedup, url_lists
+from wearlake.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    hard_negatives,
+    language_model,
+    line_dedup,
+    minhash,
+    nearest,
+    prefix_trie,
+    quality_model,
+    quality_rules,
+    suffix_dedup,
+    url_lists,
+)
 from wearlake.llm.common import kept, table
 
 
@@ -195,6 +209,27 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, percent=85)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie over all rebuilt conversations."""
+    nodes = prefix_trie.prefix_nodes(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest of every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_subword_lattice": op2_subword_lattice,
@@ -206,4 +241,7 @@ QUERIES = {
     "op8_url_lists": op8_url_lists,
     "op9_chat": op9_chat,
     "op10_minhash": op10_minhash,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_nearest": op12_nearest,
+    "op13_hard_negatives": op13_hard_negatives,
 }
