@@ -120,9 +120,9 @@ FROM told GROUP BY conv_id
 """,
     "op11_prefix_trie": r"""
 WITH lists AS (
-    SELECT conv_id, list({'role': role, 'text': text} ORDER BY at) AS t
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY nth) AS t
     FROM (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS at
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS nth
           FROM conversations WHERE conv_id IS NOT NULL)
     GROUP BY conv_id
 ), hashed AS (
