@@ -393,6 +393,13 @@ ORACLES = {
         for name in TABLES
     ),
     "csv_texts": "SELECT doc_id, nullif(text, '') AS text, lang FROM documents",
+    "csv_records": """SELECT doc_id, nullif(text, '') AS text, lang, source,
+        row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents""",
+    "read_by_extension": """
+        SELECT 'csv' AS kind, doc_id, 'text' AS "column", nullif(text, '') AS value FROM documents
+        UNION ALL SELECT 'csv', doc_id, 'source', nullif(source, '') FROM documents
+        UNION ALL SELECT 'parquet', doc_id, 'text', text FROM documents
+        UNION ALL SELECT 'parquet', doc_id, 'source', source FROM documents""",
     "metadata_csv": f"""WITH {REC}, {SUBJECTS},
         users AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS subject_id FROM rec)
         SELECT subject_id, subjectkey, sex FROM users JOIN subjects USING (subject_id)""",

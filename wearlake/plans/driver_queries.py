@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearlake.functions import fields, names
@@ -19,6 +19,7 @@ from wearlake.plans import driver_tables as given
 from wearlake.schema import template_columns
 from wearlake.session import scratch_path
 from wearlake.sources import files, recordings, selection, sinks, tables
+from wearlake.sources.csv_records import read_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -330,6 +331,40 @@ def csv_texts(spark, sf_dir):
     return read.option("multiLine", True).csv(target)
 
 
+@query
+def csv_records(spark, sf_dir):
+    """Texts with quotes, commas and line feeds, read in many splits of several files.
+
+    The files hold ranges of ids in order, so a row's number in its file and the rows of the
+    files before tell its place among all ids.
+    """
+    rows = given.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    target = scratch_path(spark, "csv")
+    rows.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.options(**sinks.CSV).csv(target)
+    read = read_csv(spark, target, split_bytes=1 << 18, file="file").withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    read = stored(read)
+    files_ = read.groupBy("file").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files_.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    return read.join(starts, "file").select(
+        "doc_id", "text", "lang", "source", (F.col("start") + F.col("row_index")).alias("place")
+    )
+
+
+@query
+def read_by_extension(spark, sf_dir):
+    """Every record of CSV and of Parquet files, found by their extension, as column and value."""
+    target = scratch_path(spark, "any")
+    rows = given.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows.write.options(**sinks.CSV).csv(f"{target}.csv")
+    both = [
+        recordings.as_records(tables.read_any(spark, path).select("doc_id", "text", "source"), "doc_id")
+        .select(F.lit(kind).alias("kind"), F.col("doc_id").cast("bigint").alias("doc_id"), "column", "value")
+        for kind, path in (("csv", f"{target}.csv"), ("parquet", f"{sf_dir}/documents.parquet"))
+    ]
+    return both[0].unionByName(both[1])
+
+
 @query
 def csv_rows(spark, sf_dir):
     """Rows 25 to 74 and the last ten of one CSV file per event type, by row number."""

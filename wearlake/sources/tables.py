@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wearlake.operators.keyed import join_on, stored
 from wearlake.schema import METADATA_SCHEMA, VISIT_COLUMNS
 from wearlake.sources import sinks
+from wearlake.sources.csv_records import read_csv
 
 
 def with_csv_rows(raw: DataFrame, out: str = "row_index") -> DataFrame:
@@ -94,11 +95,11 @@ def read_visits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet or CSV file by its extension, with ``row_index``."""
+    """A Parquet or CSV file by its extension, with ``row_index``; fields of a CSV are texts."""
     kind = os.path.splitext(path)[1].lower()
     if kind == ".parquet":
         rows = sinks.whole_moments(spark.read.parquet(path).select("*", "_metadata.row_index"), path)
         return rows
     if kind == ".csv":
-        return with_csv_rows(spark.read.option("header", True).csv(path))
+        return read_csv(spark, path)
     raise ValueError(f"unsupported file type '{kind}': only .parquet and .csv")
