@@ -49,6 +49,8 @@ MOST_PROJECTIONS = 16
 BUCKET = 256
 PROBES = 24
 ROW_BLOCK, QUERY_BLOCK = 1024, 256
+# Queries whose best rows a task holds before it hands them on.
+HELD_QUERIES = 20_000
 # Multiple of the wanted neighbours by whose worst score in the sample rows are left out early.
 SPARE = 4
 # The share of a bucket order's probability that may be cut off before it is sorted.
@@ -147,10 +149,19 @@ def _packed(entries: DataFrame, side: str, size: int) -> DataFrame:
 
 
 def _scorer(width: int, k: int):
-    """Function for tasks: each query of a block with its best rows of a block."""
-    names = ["qa", "qb", "vec_id", "score"]
+    """Function for tasks: pairs of blocks to the best rows that a task finds for each query in each table."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+
+    def told(best: dict) -> Iterator[pa.RecordBatch]:
+        columns: list[list] = [[], [], [], []]
+        for (_, qa, qb), (scores, ids) in best.items():
+            for column, values in zip(columns, ([qa] * len(ids), [qb] * len(ids), ids.tolist(), scores.tolist())):
+                column += values
+        arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["qa", "qb", "vec_id", "score"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
         for pair in rows(batches):
             points, queries = pair["points"].values, pair["queries"].values
             scores = matrix(queries.field("v"), width) @ matrix(points.field("v"), width).T
@@ -158,22 +169,27 @@ def _scorer(width: int, k: int):
             count = ids.value_lengths().to_numpy(zero_copy_only=False)
             flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum(count)
             least = queries.field("least").to_numpy(zero_copy_only=False)
-            qa, qb = (queries.field(x).to_numpy(zero_copy_only=False) for x in ("qa", "qb"))
-            smallest = flat[ends - count]
-            asked, hit = [], []
-            for i in range(len(scores)):
-                at = np.flatnonzero(scores[i] >= least[i])
-                if len(at) > k:
-                    at = at[np.lexsort((smallest[at], -scores[i, at]))[:k]]
-                asked.append(np.full(len(at), i))
-                hit.append(at)
-            i, j = np.concatenate(asked), np.concatenate(hit)
-            # Each row found stands for all ids of its vector.
-            i, j, copies = np.repeat(i, count[j]), np.repeat(j, count[j]), count[j]
-            nth = np.arange(len(j)) - np.repeat(np.cumsum(copies) - copies, copies)
-            found = flat[ends[j] - count[j] + nth]
-            columns = [pa.array(c) for c in (qa[i], qb[i], found, scores[i, j])]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            keys = zip(*(queries.field(x).to_pylist() for x in ("qa", "qb")))
+            for i, key in enumerate(keys):
+                key = (pair["t"].as_py(), *key)
+                held = best.get(key)
+                # Of a table a row is in one bucket, so none is met twice.
+                enough = least[i] if held is None or len(held[0]) < k else max(least[i], held[0][-1])
+                at = np.flatnonzero(scores[i] >= enough)
+                if not len(at):
+                    continue
+                # A row stands for all ids of its vector.
+                found = np.concatenate([flat[ends[j] - count[j] : ends[j]] for j in at])
+                worth = np.repeat(scores[i, at], count[at])
+                if held is not None:
+                    found, worth = np.concatenate([held[1], found]), np.concatenate([held[0], worth])
+                order = np.lexsort((found, -worth))[:k]
+                best[key] = worth[order], found[order]
+            if len(best) > HELD_QUERIES:
+                yield from told(best)
+                best = {}
+        if best:
+            yield from told(best)
 
     return run
 
@@ -245,7 +261,7 @@ def nearest(
     ).select(F.col("qa").alias("key"), "row", "t", F.explode("all").alias("bucket"))
     asking = _packed(visits, "queries", QUERY_BLOCK)
 
-    pairs = index.join(asking.hint("merge"), ["t", "bucket"]).select("points", "queries")
+    pairs = index.join(asking.hint("merge"), ["t", "bucket"]).select("t", "points", "queries")
     scored = pairs.mapInArrow(_scorer(width, k + 1), "qa long, qb long, vec_id long, score double")
     merged = scored.groupBy("qa", "qb", "vec_id").agg(F.max("score").alias("score"))
     best = (
