@@ -1,6 +1,9 @@
 """Signal statistics and windows against pandas and numpy, series by series."""
 
+import math
+import struct
 from datetime import datetime, timedelta
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -76,6 +79,69 @@ def test_rolling_band(rows, frames, chunk, window):
             same(found[name]["band_hi"], roll.mean() + std)
 
 
+def test_rolling_band_beside_large_steps(spark):
+    """Bands right behind a step of ten million, and on an offset of a billion, keep six digits."""
+    rng = np.random.default_rng(4)
+    value = np.round(rng.normal(0, 0.01, 300), 4)
+    value[100:150] += 1e7
+    value[200:] += 1e9
+    value[250] = np.nan
+    frame = pd.DataFrame({"series": "a", "position": np.arange(300), "value": value})
+    rows = spark.createDataFrame(frame, "series string, position long, value double")
+    found = rolling.rolling_band(rows, KEYS, "value", "position", 20, 64).orderBy("position").toPandas()
+    for at, got in zip(range(300), found["rolling_std"]):
+        part = value[max(at - 10, 0) : at + 10]
+        if len(part) < 20 or at > 290 or np.isnan(part).any():
+            assert pd.isna(got)
+        else:
+            part = [Fraction(x) for x in part]
+            mean = sum(part) / 20
+            assert got == pytest.approx(math.sqrt(sum((x - mean) ** 2 for x in part) / 19), rel=1e-6)
+
+
+def test_nan_is_a_missing_value(spark):
+    frame = pd.DataFrame({"x": [1.0, np.nan, 3.0, None, 2.0], "row": range(5)})
+    listed = [(None if r.x is None else float(r.x), int(r.row), datetime(2020, 1, 1)) for r in frame.astype(object).itertuples()]
+    listed[3] = (None, 3, datetime(2020, 1, 1))
+    rows = spark.createDataFrame(listed, "x double, row long, at timestamp_ntz").withColumn("series", F.lit("a"))
+    told = signal_stats.describe_numeric(rows, KEYS, ["x"]).first()
+    want = frame["x"].astype(float).describe()
+    assert [told["count"], told["mean"], told["std"], told["q25"], told["q50"], told["q75"], told["max"]] == pytest.approx(
+        [want[k] for k in ("count", "mean", "std", "25%", "50%", "75%", "max")]
+    )
+    bins = signal_stats.histogram(rows, KEYS, "x", "row", 4).orderBy("bin").collect()
+    assert [b.n for b in bins] == np.histogram([1, 3, 2], 4)[0].tolist() and bins[0].bin_lo == 1 and bins[-1].bin_hi == 3
+    box = signal_stats.box_stats(rows, KEYS, "x", "row").first()
+    assert (box.q1, box.median, box.q3, box.n, box.n_outliers) == (1.5, 2.0, 2.5, 3, 0)
+    summary = signal_stats.signal_summary(rows, KEYS, "x", "at", "row").first()
+    assert (summary.n_rows, summary.mean, summary.min, summary.max) == (5, 2.0, 1.0, 3.0)
+
+
+def test_order_keys_keep_the_order_of_doubles(spark):
+    rng = np.random.default_rng(8)
+    bits = rng.integers(0, 2047 << 52, 500, dtype=np.int64)
+    values = [float(x) for x in bits.view(np.float64)] + [0.0, 5e-324, 2.0**-1022, 1.7976931348623157e308, float("inf"), 1.0, 2.0, 0.1]
+    values += [float(np.nextafter(2.0**k, 0)) for k in range(-1000, 1000, 50)]
+    values += [-x for x in values]
+    rows = spark.createDataFrame([(x,) for x in values], "x double").withColumn("k", quantiles.order_key(F.col("x")))
+    for r in rows.select("x", "k", quantiles.key_value(F.col("k")).alias("back")).collect():
+        size = struct.unpack("<q", struct.pack("<d", abs(r.x)))[0]
+        assert r.k == (-size if r.x < 0 else size) and r.back == r.x
+
+
+@pytest.mark.parametrize("few", [0, 10, 10**9])
+def test_percentiles_of_many_close_values(spark, monkeypatch, few):
+    """Values that share their leading bits are told apart by the next ones."""
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", few)
+    rng = np.random.default_rng(few % 7)
+    values = {"near": 1 + rng.random(3000) * 1e-9, "wide": rng.standard_cauchy(3000) * 1e50, "tied": np.repeat([2.5, -2.5], 300)}
+    listed = [(name, float(x)) for name, found in values.items() for x in found]
+    rows = spark.createDataFrame(listed, "series string, x double")
+    shares = (0.0, 0.01, 0.5, 0.77, 1.0)
+    for r in quantiles.percentiles(rows, KEYS, "x", shares).collect():
+        assert r.quantiles == pytest.approx(np.quantile(values[r.series], shares).tolist(), rel=1e-12)
+
+
 @pytest.mark.parametrize("chunk", CHUNKS)
 def test_flat_points(rows, frames, chunk):
     flagged = rolling.flat_points(rows, KEYS, "value", "position", chunk=chunk)

@@ -1,13 +1,85 @@
-"""Exact, linearly interpolated percentiles per series."""
+"""Exact, linearly interpolated percentiles per series, by radix selection."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearlake.operators.keyed import BROADCAST_SERIES, join_on, materialise, stored
+from wearlake.operators.keyed import BROADCAST_SERIES, join_on, materialise
+
+# Leading bits of a value's key that one pass looks at: sign, exponent and eight more, so
+# that a bucket spans a 256th of its lower end.
+BITS = 20
+# So many rows in buckets that hold a wanted rank are counted value by value.
+COUNTED_ROWS = 4_000_000
+
+_LEAST_EXPONENT = -1022
+_HALF = 52
+_INFINITE = (1024 - _LEAST_EXPONENT + 1) << _HALF
+
+
+def present(value: Column) -> Column:
+    """The value as a double; null for ``NaN``, which no statistic counts."""
+    x = value.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def order_key(x: Column) -> Column:
+    """A long in the order of the double ``x``, one for one: the bits of its magnitude, signed.
+
+    ``-0.0`` and ``0.0`` have one key. All steps are exact: the exponent found by logarithm
+    is put right where it is off by one.
+    """
+    size = F.abs(x)
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(_LEAST_EXPONENT))
+    power = F.when(size < F.pow(F.lit(2.0), guess), guess - 1).when(
+        size >= F.pow(F.lit(2.0), guess + 1), guess + 1
+    ).otherwise(guess)
+    exponent = F.greatest(power, F.lit(_LEAST_EXPONENT))
+    mantissa = (size / F.pow(F.lit(2.0), exponent) * F.lit(float(1 << _HALF))).cast("long")
+    bits = (
+        F.when(size == 0, F.lit(0))
+        .when(size == float("inf"), F.lit(_INFINITE))
+        .otherwise((exponent - _LEAST_EXPONENT) * F.lit(1 << _HALF) + mantissa)
+    )
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
+def key_value(key: Column) -> Column:
+    """The double of an order key."""
+    bits = F.abs(key)
+    steps = F.greatest(F.shiftright(bits, _HALF) - 1, F.lit(0))
+    mantissa = (bits - F.shiftleft(steps, _HALF)).cast("double") / F.lit(float(1 << _HALF))
+    size = F.when(bits >= _INFINITE, F.lit(float("inf"))).otherwise(
+        mantissa * F.pow(F.lit(2.0), (steps + _LEAST_EXPONENT).cast("double"))
+    )
+    return F.when(key < 0, -size).otherwise(size)
+
+
+def _ranked(counts: DataFrame, keys: list[str], ranks: Column) -> DataFrame:
+    """Counts by ``_key`` with the wanted ranks (``_i``, ``_rank``) that each of them holds.
+
+    ``counts`` has ``_n`` rows for each ``_key`` and the number ``_below`` of rows before its
+    first one. A series without values keeps one row, with null ``_total``.
+    """
+    upto = Window.partitionBy(*keys, "_in").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_end", F.col("_below") + F.sum("_n").over(upto))
+    held = F.filter(ranks, lambda r: (r["_rank"] >= F.col("_end") - F.col("_n")) & (r["_rank"] < F.col("_end")))
+    return placed.withColumn("_ranks", held)
+
+
+def _ranks(shares: Sequence[float], total: Column) -> Column:
+    """Both data ranks around each share's place."""
+    places = [(i, (total - 1) * F.lit(float(s))) for i, s in enumerate(shares)]
+    return F.array(
+        *(
+            F.struct(F.lit(i).alias("_i"), turn(spot).cast("long").alias("_rank"), spot.alias("_spot"))
+            for i, spot in places
+            for turn in (F.floor, F.ceil)
+        )
+    )
 
 
 def column_percentiles(
@@ -15,64 +87,46 @@ def column_percentiles(
 ) -> DataFrame:
     """``quantiles`` for every series and ``column``, one value per share, by rank.
 
-    All columns go through one plan and one scan. Equal values are counted, so a group
-    holds one number, then range-partitioned by series, column and value. The written
-    copy fixes the partitions; from their totals follows which ranks each holds, and only
-    partitions that hold a wanted rank are looked into. A column without values has null.
+    Values become longs of the same order. All columns' values are counted by their leading
+    bits in one scan; only the buckets that hold a wanted rank are looked into again, by
+    their next bits, until few rows are left, which are counted value by value. So scans
+    move counts of buckets, never the values themselves. A column without values has null.
     """
     keys = [*keys, "column"]
+    names = [f.name for f in rows.schema]
     values = F.array(
-        *(F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("_value")) for name in columns)
-    )
-    tall = rows.select(*keys[:-1], F.inline(values))
-    counted = tall.groupBy(*keys, "_value").agg(F.count("_value").alias("_n"))
-    ordered = stored(
-        counted.repartitionByRange(*keys, "_value").withColumn("_part", F.spark_partition_id())
-    )
-    per_series = Window.partitionBy(*keys)
-    earlier = per_series.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = materialise(
-        ordered.groupBy(*keys, "_part")
-        .agg(F.sum("_n").alias("_size"))
-        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .withColumn("_total", F.sum("_size").over(per_series))
+        *(F.struct(F.lit(name).alias("column"), order_key(present(F.col(name))).alias("_key")) for name in columns)
     )
-    # Rank position of each share, and the two data ranks around it.
-    spots = F.array(
-        *(
-            F.struct(F.lit(i).alias("i"), ((F.col("_total") - 1) * F.lit(float(s))).alias("spot"))
-            for i, s in enumerate(shares)
-        )
-    )
-    asked = (
-        parts.where("_total > 0")
-        .withColumn("_ask", F.explode(spots))
-        .select(
-            *keys, "_part", "_before", "_size", F.col("_ask.i").alias("_i"), F.col("_ask.spot").alias("_spot"),
-            F.explode(F.array(F.floor("_ask.spot"), F.ceil("_ask.spot"))).alias("_rank"),
+    tall = rows.select(*(k for k in names if k in keys[:-1]), F.inline(values))
+
+    shift = 64 - BITS
+    first = tall.groupBy(*keys, F.shiftright("_key", shift).alias("_key")).agg(F.count("_key").alias("_n"))
+    whole = first.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
+    start = whole.withColumns({"_in": F.lit(0).cast("long"), "_below": F.lit(0).cast("long"), "_ranks": _ranks(shares, F.col("_total"))})
+    # Buckets that hold a wanted rank; a column without values stays as one null bucket.
+    asked = materialise(_ranked(start, keys, F.col("_ranks")).where("size(_ranks) > 0 OR _total = 0"))
+    groups = asked.select(*keys).distinct()
+    asked = asked.where("_total > 0")
+    while True:
+        facts = asked.agg(F.count("*").alias("buckets"), F.sum("_n").alias("rows")).first()
+        small = facts.buckets <= BROADCAST_SERIES
+        buckets = asked.select(*keys, F.col("_key").alias("_in"), (F.col("_end") - F.col("_n")).alias("_below"), "_ranks")
+        inside = join_on(tall.withColumn("_in", F.shiftright("_key", shift)), buckets, [*keys, "_in"], small=small)
+        finer = 0 if shift <= BITS or (facts.rows or 0) <= COUNTED_ROWS else shift - BITS
+        counts = inside.groupBy(*keys, "_in", "_below", "_ranks", F.shiftright("_key", finer).alias("_key")).agg(
+            F.count("*").alias("_n")
         )
-        .distinct()
-        .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_size")))
-    )
-    small = parts.count() * 2 * len(shares) <= BROADCAST_SERIES
-    touched = asked.select(*keys, "_part", "_before").distinct()
-    upto = Window.partitionBy(*keys, "_part").orderBy("_value").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    looked_into = (
-        join_on(ordered.where("_value IS NOT NULL"), touched, [*keys, "_part"], small=small)
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(upto))
-        .drop("_before")
-    )
-    hits = join_on(looked_into, asked, [*keys, "_part"], small=small).where(
-        (F.col("_rank") >= F.col("_upto") - F.col("_n")) & (F.col("_rank") < F.col("_upto"))
-    )
+        found = _ranked(counts, keys, F.col("_ranks")).where("size(_ranks) > 0")
+        if finer == 0:
+            break
+        asked, shift = materialise(found), finer
     low, high = F.min("_value"), F.max("_value")
-    share = F.max("_spot") - F.floor(F.max("_spot"))
-    found = hits.groupBy(*keys, "_i").agg((low + (high - low) * share).alias("_q"))
+    hits = found.select(*keys, key_value(F.col("_key")).alias("_value"), F.inline("_ranks"))
+    spot = F.max("_spot")
+    answered = hits.groupBy(*keys, "_i").agg((low + (high - low) * (spot - F.floor(spot))).alias("_q"))
     by_share = F.sort_array(F.collect_list(F.struct("_i", "_q")))  # one entry per share
-    answered = found.groupBy(*keys).agg(F.transform(by_share, lambda e: e["_q"]).alias("quantiles"))
-    return join_on(parts.select(*keys).distinct(), answered, keys, "left")
+    listed = answered.groupBy(*keys).agg(F.transform(by_share, lambda e: e["_q"]).alias("quantiles"))
+    return join_on(groups, listed, keys, "left")
 
 
 def percentiles(

@@ -1,4 +1,4 @@
-"""Statistics of a signal, per series."""
+"""Statistics of a signal, per series. ``NaN`` is a missing value in all of them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlake.operators.keyed import CHUNK_ROWS, Chunked, attach, broadcastable, join_on
-from wearlake.operators.quantiles import column_percentiles, percentiles
+from wearlake.operators.quantiles import column_percentiles, percentiles, present
 
 # fixed values: histogram bins, quartiles, reach of box-plot whiskers
 HISTOGRAM_BINS = 30
@@ -34,6 +34,7 @@ def signal_summary(
     ``n_columns`` is the number of columns of the recording, where ``rows`` is only part
     of it.
     """
+    x = present(F.col(value))
     return (
         rows.groupBy(*keys)
         .agg(
@@ -42,10 +43,10 @@ def signal_summary(
             F.max(local).alias("max_local"),
             F.min_by(local, order).alias("first_local"),
             F.max_by(local, order).alias("last_local"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("std"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
         )
         .withColumn("n_columns", F.lit(len(rows.columns) if n_columns is None else n_columns))
         .withColumn(
@@ -89,6 +90,26 @@ def distinct_values(rows: DataFrame, column: str, order: str, keys: Sequence[str
     )
 
 
+def distinct_values_of(
+    rows: DataFrame, columns: Sequence[str], order: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`distinct_values` of several columns, as texts, in one scan.
+
+    One aggregation over grouping sets, a set for each column.
+    """
+    keys = list(keys)
+    texts = rows.select(*keys, order, *(F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)))
+    made = [f"_v{i}" for i in range(len(columns))]
+    found = texts.groupingSets([[*keys, one] for one in made], *keys, *made).agg(
+        *(F.grouping(one).alias(f"_g{one}") for one in made), F.min(order).alias("first_row")
+    )
+    name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for one, column in zip(made, columns):
+        mine = F.col(f"_g{one}") == 0
+        name, value = F.when(mine, column).otherwise(name), F.when(mine, F.col(one)).otherwise(value)
+    return found.select(*keys, name.alias("column"), value.alias("value"), "first_row")
+
+
 def describe_numeric(
     rows: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
@@ -96,7 +117,7 @@ def describe_numeric(
     keys = list(keys)
 
     def moments(name):
-        value = F.col(name).cast("double")
+        value = present(F.col(name))
         return F.struct(
             F.lit(name).alias("column"),
             F.count(value).alias("count"),
@@ -128,9 +149,10 @@ def histogram(
     A constant signal gets a range of half a unit to either side. Empty bins are kept.
     """
     keys = list(keys)
+    rows = rows.where(present(F.col(value)).isNotNull())
     flat = F.col("_lo") == F.col("_hi")
     limits = (
-        rows.where(F.col(value).isNotNull())
+        rows
         .groupBy(*keys)
         .agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
         .select(
@@ -139,7 +161,7 @@ def histogram(
             F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("hi"),
         )
     )
-    samples = rows.select(*keys, value, spread).where(F.col(value).isNotNull())
+    samples = rows.select(*keys, value, spread)
     x = F.col(value).cast("double")
     width = (F.col("hi") - F.col("lo")) / bins
     # The quotient may be off by one at an edge; the edges themselves decide.
@@ -187,7 +209,7 @@ def _with_fences(
         q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"),
         (q[0] - reach).alias("_lower"), (q[2] + reach).alias("_upper"),
     )
-    samples = rows.select(*keys, value, spread).where(F.col(value).isNotNull())
+    samples = rows.select(*keys, value, spread).where(present(F.col(value)).isNotNull())
     return attach(samples, fences, keys, [spread], broadcastable(rows, keys))
 
 

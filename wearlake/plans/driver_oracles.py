@@ -477,6 +477,28 @@ ORACLES = {
         FROM flagged GROUP BY event_type""",
 }
 
+HOLED = f"""{REC.replace("rec AS", "seen AS", 1)},
+rec AS (SELECT * REPLACE (CASE WHEN k % 10 > 1 THEN value END AS value) FROM seen)"""
+
+ORACLES["describe_nan"] = ORACLES["describe_numeric_ranked"].replace(REC, HOLED).split(" UNION ALL ")[0]
+ORACLES["histogram_nan"] = f"WITH {HOLED}, held AS (SELECT * FROM rec WHERE value IS NOT NULL)" + ORACLES[
+    "histogram30"
+].replace("WITH l AS", ", l AS", 1).replace("FROM events", "FROM held")
+ORACLES["box_nan"] = f"WITH {HOLED}, held AS (SELECT * FROM rec WHERE value IS NOT NULL)" + ORACLES["box_stats"].replace(
+    "WITH ", ", ", 1
+).replace("FROM events", "FROM held")
+ORACLES["summary_nan"] = (
+    ORACLES["signal_summary"]
+    .replace(REC, HOLED)
+    .replace("user_id, event_type", "event_type")
+    .replace("(SELECT count(*) FROM information_schema.columns WHERE table_name = 'events')", "4")
+)
+ORACLES["rolling_nan"] = BAND.replace(
+    REC,
+    f"""{HOLED.replace("rec AS (SELECT * REPLACE", "part AS (SELECT * REPLACE", 1)},
+rec AS (SELECT * REPLACE (CASE WHEN event_id % 1000 < 700 THEN value ELSE 1e7 + event_id % 17 END AS value) FROM part)""",
+).replace(", 6)", ", 5)")
+
 ORACLES["signal_report"] = f"""
 SELECT * FROM (
     WITH {REC}, m AS (SELECT *, date_trunc('minute', local) AS minute FROM rec)

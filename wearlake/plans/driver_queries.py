@@ -42,9 +42,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*(F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns))
 
 
-def in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their dense row number within each event type."""
-    return positions(given.recordings(spark, sf_dir), SIGNAL, "event_id")
+def in_order(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """``columns`` (or the value) of events with their dense row number within each event type."""
+    rows = given.recordings(spark, sf_dir).select(*SIGNAL, "event_id", *(columns or ("value",)))
+    return positions(rows, SIGNAL, "event_id")
 
 
 # ---- summaries ------------------------------------------------------------------
@@ -508,25 +509,20 @@ def signal_summary(spark, sf_dir):
 @query
 def sampling_rate(spark, sf_dir):
     """Steps between events of a type, in whole minutes so that steps recur."""
-    rows = in_order(spark, sf_dir).withColumn("minute", F.date_trunc("minute", "timestamp_local"))
+    rows = in_order(spark, sf_dir, "timestamp_local").withColumn("minute", F.date_trunc("minute", "timestamp_local"))
     return rounded(signal_stats.sampling_rate(rows, SIGNAL, "minute", "position"))
 
 
 @query
 def sampling_rate_chunked(spark, sf_dir):
-    rows = in_order(spark, sf_dir).withColumn("minute", F.date_trunc("minute", "timestamp_local"))
+    rows = in_order(spark, sf_dir, "timestamp_local").withColumn("minute", F.date_trunc("minute", "timestamp_local"))
     return rounded(signal_stats.sampling_rate(rows, SIGNAL, "minute", "position", SMALL_CHUNK))
 
 
 @query
 def distinct_values(spark, sf_dir):
     rows = given.recordings(spark, sf_dir)
-    found = None
-    for name in ("timezone", "day_of_study", "device_worn"):
-        one = signal_stats.distinct_values(rows, name, "event_id", SIGNAL)
-        one = one.select(*SIGNAL, F.lit(name).alias("column"), F.col("value").cast("string"), "first_row")
-        found = one if found is None else found.unionByName(one)
-    return found
+    return signal_stats.distinct_values_of(rows, ("timezone", "day_of_study", "device_worn"), "event_id", SIGNAL)
 
 
 @query
@@ -542,6 +538,43 @@ def describe_numeric_ranked(spark, sf_dir):
     return rounded(signal_stats.describe_numeric(rows, SIGNAL, ["value", "k"]))
 
 
+def _with_nan(spark, sf_dir):
+    """Events some of whose values are missing, as ``NaN`` or as null."""
+    rows = given.recordings(spark, sf_dir)
+    holed = F.when(F.col("k") % 10 == 0, F.lit(float("nan"))).when(F.col("k") % 10 == 1, None).otherwise(F.col("value"))
+    return rows.select("event_id", *SIGNAL, "timestamp_local", holed.alias("value"))
+
+
+@query
+def describe_nan(spark, sf_dir):
+    return rounded(signal_stats.describe_numeric(_with_nan(spark, sf_dir), SIGNAL, ["value"]))
+
+
+@query
+def histogram_nan(spark, sf_dir):
+    return rounded(signal_stats.histogram(_with_nan(spark, sf_dir), SIGNAL, "value", "event_id"))
+
+
+@query
+def box_nan(spark, sf_dir):
+    return rounded(signal_stats.box_stats(_with_nan(spark, sf_dir), SIGNAL, "value", "event_id"))
+
+
+@query
+def summary_nan(spark, sf_dir):
+    return rounded(signal_stats.signal_summary(_with_nan(spark, sf_dir), SIGNAL, "value", "timestamp_local", "event_id"))
+
+
+@query
+def rolling_nan(spark, sf_dir):
+    """Bands of a signal with holes and a large offset."""
+    far = F.lit(1e7) + F.col("event_id") % 17
+    rows = _with_nan(spark, sf_dir).select(
+        "event_id", *SIGNAL, F.when(F.col("event_id") % 1000 < 700, F.col("value")).otherwise(far).alias("value")
+    )
+    return _banded(positions(rows, SIGNAL, "event_id"), SMALL_CHUNK, digits=5)
+
+
 @query
 def percentiles_lineitem(spark, sf_dir):
     """Percentiles of prices by rank: nearly every value is different."""
@@ -593,9 +626,9 @@ def differences(spark, sf_dir):
     return rounded(rows.select("event_id", "diff"))
 
 
-def _banded(rows, chunk):
+def _banded(rows, chunk, digits=6):
     banded = rolling.rolling_band(rows, SIGNAL, "value", "position", chunk=chunk)
-    return rounded(banded.select("event_id", "rolling_mean", "rolling_std", "band_lo", "band_hi"))
+    return rounded(banded.select("event_id", "rolling_mean", "rolling_std", "band_lo", "band_hi"), digits)
 
 
 @query
