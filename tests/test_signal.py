@@ -123,7 +123,7 @@ def test_order_keys_keep_the_order_of_doubles(spark):
     values = [float(x) for x in bits.view(np.float64)] + [0.0, 5e-324, 2.0**-1022, 1.7976931348623157e308, float("inf"), 1.0, 2.0, 0.1]
     values += [float(np.nextafter(2.0**k, 0)) for k in range(-1000, 1000, 50)]
     values += [-x for x in values]
-    rows = spark.createDataFrame([(x,) for x in values], "x double").withColumn("k", quantiles.order_key(F.col("x")))
+    rows = quantiles.with_order_key(spark.createDataFrame([(x,) for x in values], "x double"), "x", "k")
     for r in rows.select("x", "k", quantiles.key_value(F.col("k")).alias("back")).collect():
         size = struct.unpack("<q", struct.pack("<d", abs(r.x)))[0]
         assert r.k == (-size if r.x < 0 else size) and r.back == r.x

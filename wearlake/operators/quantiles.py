@@ -26,25 +26,28 @@ def present(value: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def order_key(x: Column) -> Column:
-    """A long in the order of the double ``x``, one for one: the bits of its magnitude, signed.
+def with_order_key(rows: DataFrame, x: str, out: str) -> DataFrame:
+    """Adds a long in the order of the double ``x``, one for one: the bits of its magnitude, signed.
 
-    ``-0.0`` and ``0.0`` have one key. All steps are exact: the exponent found by logarithm
-    is put right where it is off by one.
+    ``-0.0`` and ``0.0`` have one key, null and ``NaN`` have none. All steps are exact: the
+    exponent found by logarithm is put right where it is off by one. Each step is a column
+    of its own, so that no expression is computed twice.
     """
-    size = F.abs(x)
-    guess = F.greatest(F.floor(F.log2(size)), F.lit(_LEAST_EXPONENT))
-    power = F.when(size < F.pow(F.lit(2.0), guess), guess - 1).when(
-        size >= F.pow(F.lit(2.0), guess + 1), guess + 1
-    ).otherwise(guess)
-    exponent = F.greatest(power, F.lit(_LEAST_EXPONENT))
-    mantissa = (size / F.pow(F.lit(2.0), exponent) * F.lit(float(1 << _HALF))).cast("long")
+    two = F.lit(2.0)
+    sized = rows.withColumn("_size", F.abs(present(F.col(x))))
+    guessed = sized.withColumn("_guess", F.greatest(F.floor(F.log2("_size")).cast("double"), F.lit(float(_LEAST_EXPONENT))))
+    scaled = guessed.withColumn("_power", F.pow(two, "_guess"))
+    off = F.when(F.col("_size") < F.col("_power"), -1.0).when(F.col("_size") >= F.col("_power") * 2, 1.0).otherwise(0.0)
+    settled = scaled.withColumn("_exponent", F.greatest(F.col("_guess") + off, F.lit(float(_LEAST_EXPONENT))))
+    whole = settled.withColumn("_mantissa", F.col("_size") / F.pow(two, "_exponent") * float(1 << _HALF))
     bits = (
-        F.when(size == 0, F.lit(0))
-        .when(size == float("inf"), F.lit(_INFINITE))
-        .otherwise((exponent - _LEAST_EXPONENT) * F.lit(1 << _HALF) + mantissa)
+        F.when(F.col("_size") == 0, F.lit(0))
+        .when(F.col("_size") == float("inf"), F.lit(_INFINITE))
+        .otherwise((F.col("_exponent") - _LEAST_EXPONENT).cast("long") * F.lit(1 << _HALF) + F.col("_mantissa").cast("long"))
     )
-    return F.when(x < 0, -bits).otherwise(bits)
+    found = whole.withColumn("_bits", bits)
+    signed = F.when(F.col(x) < 0, -F.col("_bits")).otherwise(F.col("_bits"))
+    return found.withColumn(out, signed).drop("_size", "_guess", "_power", "_exponent", "_mantissa", "_bits")
 
 
 def key_value(key: Column) -> Column:
@@ -82,31 +85,23 @@ def _ranks(shares: Sequence[float], total: Column) -> Column:
     )
 
 
-def column_percentiles(
+def selected(
     rows: DataFrame, keys: Sequence[str], columns: Sequence[str], shares: Sequence[float]
-) -> DataFrame:
-    """``quantiles`` for every series and ``column``, one value per share, by rank.
-
-    Values become longs of the same order. All columns' values are counted by their leading
-    bits in one scan; only the buckets that hold a wanted rank are looked into again, by
-    their next bits, until few rows are left, which are counted value by value. So scans
-    move counts of buckets, never the values themselves. A column without values has null.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """All series and ``column`` s, and ``quantiles`` of those that have values."""
     keys = [*keys, "column"]
-    names = [f.name for f in rows.schema]
     values = F.array(
-        *(F.struct(F.lit(name).alias("column"), order_key(present(F.col(name))).alias("_key")) for name in columns)
+        *(F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("_x")) for name in columns)
     )
-    tall = rows.select(*(k for k in names if k in keys[:-1]), F.inline(values))
+    tall = with_order_key(rows.select(*keys[:-1], F.inline(values)), "_x", "_key").drop("_x")
 
     shift = 64 - BITS
     first = tall.groupBy(*keys, F.shiftright("_key", shift).alias("_key")).agg(F.count("_key").alias("_n"))
     whole = first.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     start = whole.withColumns({"_in": F.lit(0).cast("long"), "_below": F.lit(0).cast("long"), "_ranks": _ranks(shares, F.col("_total"))})
     # Buckets that hold a wanted rank; a column without values stays as one null bucket.
-    asked = materialise(_ranked(start, keys, F.col("_ranks")).where("size(_ranks) > 0 OR _total = 0"))
-    groups = asked.select(*keys).distinct()
-    asked = asked.where("_total > 0")
+    every = materialise(_ranked(start, keys, F.col("_ranks")).where("size(_ranks) > 0 OR _total = 0"))
+    asked = every.where("_total > 0")
     while True:
         facts = asked.agg(F.count("*").alias("buckets"), F.sum("_n").alias("rows")).first()
         small = facts.buckets <= BROADCAST_SERIES
@@ -120,13 +115,27 @@ def column_percentiles(
         if finer == 0:
             break
         asked, shift = materialise(found), finer
-    low, high = F.min("_value"), F.max("_value")
     hits = found.select(*keys, key_value(F.col("_key")).alias("_value"), F.inline("_ranks"))
-    spot = F.max("_spot")
-    answered = hits.groupBy(*keys, "_i").agg((low + (high - low) * (spot - F.floor(spot))).alias("_q"))
-    by_share = F.sort_array(F.collect_list(F.struct("_i", "_q")))  # one entry per share
-    listed = answered.groupBy(*keys).agg(F.transform(by_share, lambda e: e["_q"]).alias("quantiles"))
-    return join_on(groups, listed, keys, "left")
+    answers = []
+    for i in range(len(shares)):
+        mine = F.col("_i") == i
+        low, high, spot = F.min(F.when(mine, F.col("_value"))), F.max(F.when(mine, F.col("_value"))), F.max(F.when(mine, F.col("_spot")))
+        answers.append(low + (high - low) * (spot - F.floor(spot)))
+    return every.select(*keys).distinct(), hits.groupBy(*keys).agg(F.array(*answers).alias("quantiles"))
+
+
+def column_percentiles(
+    rows: DataFrame, keys: Sequence[str], columns: Sequence[str], shares: Sequence[float]
+) -> DataFrame:
+    """``quantiles`` for every series and ``column``, one value per share, by rank.
+
+    Values become longs of the same order. All columns' values are counted by their leading
+    bits in one scan; only the buckets that hold a wanted rank are looked into again, by
+    their next bits, until few rows are left, which are counted value by value. So scans
+    move counts of buckets, never the values themselves. A column without values has null.
+    """
+    every, found = selected(rows, keys, columns, shares)
+    return join_on(every, found, [*keys, "column"], "left")
 
 
 def percentiles(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlake.operators.keyed import CHUNK_ROWS, Chunked, attach, broadcastable, join_on
-from wearlake.operators.quantiles import column_percentiles, percentiles, present
+from wearlake.operators.quantiles import percentiles, present, selected
 
 # fixed values: histogram bins, quartiles, reach of box-plot whiskers
 HISTOGRAM_BINS = 30
@@ -128,7 +128,7 @@ def describe_numeric(
         )
 
     wide = rows.groupBy(*keys).agg(F.array(*(moments(name) for name in columns)).alias("_all"))
-    quantiles = column_percentiles(rows, keys, columns, QUARTILES)
+    _, quantiles = selected(rows, keys, columns, QUARTILES)
     tall = join_on(wide.select(*keys, F.inline("_all")), quantiles, [*keys, "column"], "left")
     return tall.select(
         *keys, "column", "count", "mean", "std", "min",
