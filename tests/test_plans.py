@@ -3,9 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from wearlake.operators import contract, rolling, summary
-from wearlake.operators.keyed import positions
+from wearlake.operators.keyed import attach, positions, salts
 from wearlake.plans import driver_queries, driver_tables
 from wearlake.sources import recordings
 
@@ -47,6 +48,17 @@ def test_too_many_series_are_joined_with_a_salt(spark):
     assert "_salt" in plan
 
 
+def test_only_large_series_are_parted(spark):
+    """Scalars are copied once for each part of a large series and once for every other."""
+    rows = spark.range(10_000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("key"), "id")
+    listed = {r.key: r._salts for r in salts(rows, ["key"], 100).collect()}
+    assert listed == {None: 34}
+    scalars = rows.select("key", (F.col("key") * 2).alias("twice")).distinct()
+    joined = attach(rows, scalars, ["key"], ["id"], small=False, series_rows=100)
+    assert joined.count() == 10_000 and joined.where("NOT twice <=> key * 2").count() == 0
+    assert set(joined.columns) == {"key", "id", "twice"}
+
+
 def test_conversion_reads_only_needed_columns(spark):
     plan = plan_of(driver_queries.QUERIES["convert_eda"](spark, SF))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", branch_of_samples(plan))[1]

@@ -23,7 +23,8 @@ BROADCAST_BYTES = 64 << 20
 BROADCAST_ROW_BYTES = 256
 BROADCAST_SERIES = BROADCAST_BYTES // BROADCAST_ROW_BYTES
 
-SALTS = 64
+# Rows of a series that one task may join when its scalars are not broadcast.
+SERIES_ROWS = 1_000_000
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -71,24 +72,43 @@ def join_on(
     return left.join(side, condition, how).drop(*(f"_on_{key}" for key in keys))
 
 
+def salts(rows: DataFrame, keys: Sequence[str], series_rows: int | None = None) -> DataFrame:
+    """The series that are too large for one task, with ``_salts``: into how many parts they go.
+
+    Exact counts of the key, combined before the shuffle. A series goes into parts of about
+    ``series_rows`` rows; were there more such series than may be broadcast, the bound rises
+    with the total, so that the list never has more than ``BROADCAST_SERIES`` rows.
+    """
+    sizes = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")))
+    total = sizes.agg(F.sum("_size")).first()[0] or 0
+    part = max(series_rows or SERIES_ROWS, total // BROADCAST_SERIES)
+    return sizes.where(F.col("_size") > part).select(*keys, F.ceil(F.col("_size") / part).cast("int").alias("_salts"))
+
+
 def attach(
     rows: DataFrame,
     per_series: DataFrame,
     keys: Sequence[str],
     spread: Sequence[str],
     small: bool,
+    series_rows: int | None = None,
 ) -> DataFrame:
     """Left-join one row per series onto its samples.
 
-    With ``small`` (see :func:`broadcastable`) the samples stay where they are. If
-    there are too many series for that, both sides meet on the key and a salt taken
-    from the sample's ``spread`` columns, so a hot series still uses many tasks.
+    With ``small`` (see :func:`broadcastable`) the samples stay where they are. If there are
+    too many series for that, both sides meet on the key. A series of more rows than a task
+    should join (see :func:`salts`) is dealt to parts by a hash of the sample's ``spread``
+    columns, and only its scalars are copied, once for each part.
     """
     keys = list(keys)
     if small:
         return join_on(rows, per_series, keys, "left", small=True)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
-    copies = per_series.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    heavy = salts(rows, keys, series_rows)
+    parts = F.coalesce("_salts", F.lit(1))
+    salted = join_on(rows, heavy, keys, "left", small=True).withColumn("_salt", F.pmod(F.xxhash64(*spread), parts)).drop("_salts")
+    copies = join_on(per_series, heavy, keys, "left", small=True).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), parts - 1).cast("array<bigint>"))
+    ).drop("_salts")
     return join_on(salted, copies, [*keys, "_salt"], "left").drop("_salt")
 
 

@@ -61,6 +61,7 @@ def convert(
     sensors: str = "by_signal",
     small: bool | None = None,
     keep_order: bool = False,
+    series_rows: int | None = None,
 ) -> DataFrame:
     """Archive columns of one signal, with the series key in front.
 
@@ -68,7 +69,8 @@ def convert(
     brings, as older layouts do (those have no ``watch_device_type``); the oldest one
     has the skin temperature alone for every signal, ``sensors="temp"``. Samples are not
     shuffled: the scalars are broadcast if ``small``, which is measured if not given.
-    ``keep_order`` adds the row order column after the key.
+    ``keep_order`` adds the row order column after the key. ``series_rows`` bounds the rows
+    of a series that one task joins where scalars are not broadcast.
     """
     keys = list(keys)
     if small is None:
@@ -95,7 +97,7 @@ def convert(
     if device == "passthrough":
         computed["mt_pilot_vib_device"] = F.col("mt_pilot_vib_device")
         columns.remove("watch_device_type")
-    full = attach(rows, scalars, keys, [order], small)
+    full = attach(rows, scalars, keys, [order], small, series_rows)
     return full.select(
         *keys,
         *([order] if keep_order else []),

@@ -475,8 +475,8 @@ def convert_older_layout(spark, sf_dir):
 
 @query
 def convert_eda_salted(spark, sf_dir):
-    """The way taken when there are too many series to broadcast."""
-    return _convert(spark, sf_dir, "eda", small=False)
+    """The way taken when there are too many series to broadcast; the larger ones are parted."""
+    return _convert(spark, sf_dir, "eda", small=False, series_rows=15)
 
 
 # ---- contract -------------------------------------------------------------------
