@@ -404,15 +404,16 @@ ORACLES = {
         users AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS subject_id FROM rec)
         SELECT subject_id, subjectkey, sex FROM users JOIN subjects USING (subject_id)""",
     "visits_csv": f"WITH {VISITS}, {BIRTHS} SELECT * FROM births",
-    "csv_rows": """SELECT event_type, CAST(r AS BIGINT) AS row_index, event_id, value FROM (
-        SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS r,
-               count(*) OVER (PARTITION BY event_type) AS n FROM events)
+    "csv_rows": """SELECT event_type, CAST(part AS INTEGER) AS part, CAST(r AS BIGINT) AS row_index, event_id, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY event_type, part ORDER BY event_id) - 1 AS r,
+               count(*) OVER (PARTITION BY event_type, part) AS n FROM (SELECT *, event_id % 8 AS part FROM events))
         WHERE r BETWEEN 25 AND 74 OR r >= n - 10""",
-    "file_audit_damaged": """SELECT v AS file_name, CASE v WHEN 'good 100%+.parquet' THEN n END AS n_rows,
-          CASE v WHEN 'good 100%+.parquet' THEN n END AS n_scanned, v = 'good 100%+.parquet' AS ok,
-          CASE v WHEN 'empty.parquet' THEN 'empty' WHEN 'text.parquet' THEN 'unreadable' END AS problem
-        FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM nation),
-             (VALUES ('good 100%+.parquet'), ('empty.parquet'), ('text.parquet')) AS files(v)""",
+    "file_audit_damaged": """
+        WITH parts AS (SELECT o_orderkey % 4 AS part, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1)
+        SELECT 'good 100%+ ' || part || '.parquet' AS file_name, n AS n_rows, n AS n_scanned, true AS ok,
+          CAST(NULL AS VARCHAR) AS problem FROM parts
+        UNION ALL SELECT 'text ' || part || '.parquet', NULL, NULL, false, 'unreadable' FROM parts
+        UNION ALL SELECT 'empty.parquet', NULL, NULL, false, 'empty'""",
     "csv_round_trip": "SELECT event_id, user_id, value, ts, event_type FROM events",
     "parquet_to_csv": "SELECT * FROM customer ORDER BY c_custkey LIMIT 1000",
     "parquet_to_csv_whole": "SELECT event_id, ts, user_id, event_type, value FROM events",

@@ -29,6 +29,8 @@ SERIES = given.SERIES
 SIGNAL = given.SIGNAL
 FLAT = 5.0
 SMALL_CHUNK = 1000
+AUDIT_PARTS = 4
+CSV_PARTS = 8
 
 
 def query(build: Query) -> Query:
@@ -298,16 +300,20 @@ def _audited(spark, folder):
 
 @query
 def file_audit_damaged(spark, sf_dir):
-    """A sound file with signs in its name, an empty one and one that is no Parquet."""
+    """Sound files with signs in their names, an empty one and some that are no Parquet.
+
+    The orders fill them, dealt by their key.
+    """
     folder = scratch_path(spark, "audit")
-    given.table(spark, sf_dir, "nation").coalesce(1).write.parquet(f"{folder}/good")
-    given.table(spark, sf_dir, "nation").select("n_name").coalesce(1).write.text(f"{folder}/text")
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    for kind, name in (("good", "good 100%+.parquet"), ("text", "text.parquet")):
-        part = next(f.getPath() for f in system.listStatus(path(f"{folder}/{kind}")) if f.getPath().getName().startswith("part-"))
-        system.rename(part, path(f"{folder}/{name}"))
-    system.create(path(f"{folder}/empty.parquet")).close()
+    part = F.pmod("o_orderkey", F.lit(AUDIT_PARTS)).cast("int").alias("part")
+    rows = given.table(spark, sf_dir, "orders").select("*", part).repartition("part")
+    rows.write.partitionBy("part").parquet(f"{folder}/good")
+    rows.select("part", F.col("o_orderpriority").alias("value")).write.partitionBy("part").text(f"{folder}/text")
+    for kind, name in (("good", "good 100%+"), ("text", "text")):
+        for i in range(AUDIT_PARTS):
+            files.place_part(spark, f"{folder}/{kind}/part={i}", f"{folder}/{name} {i}.parquet")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/empty.parquet")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
     return _audited(spark, folder)
 
 
@@ -368,22 +374,25 @@ def read_by_extension(spark, sf_dir):
 
 @query
 def csv_rows(spark, sf_dir):
-    """Rows 25 to 74 and the last ten of one CSV file per event type, by row number."""
-    rows = given.table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    """Rows 25 to 74 and the last ten of every CSV file, several for each event type, by row number."""
+    part = F.pmod("event_id", F.lit(CSV_PARTS)).cast("int").alias("part")
+    rows = given.table(spark, sf_dir, "events").select("event_type", part, "event_id", "value")
     target = scratch_path(spark, "csv")
-    sinks.write_csv(rows.repartition("event_type"), target, ["event_type"], order="_none")
+    keys = ["event_type", "part"]
+    sinks.write_csv(rows.repartition(*keys), target, keys, order="_none")
     read = tables.with_csv_rows(
-        spark.read.schema("event_id BIGINT, value DOUBLE, event_type STRING").options(**sinks.CSV).csv(target)
+        spark.read.schema("event_id BIGINT, value DOUBLE, event_type STRING, part INT").options(**sinks.CSV).csv(target)
     )
     middle = recordings.row_slice(read, 25, 50)
-    last = recordings.tail(read, 10, ["event_type"])
-    return middle.union(last).distinct().select("event_type", "row_index", "event_id", "value")
+    last = recordings.tail(read, 10, keys)
+    return middle.union(last).distinct().select("event_type", "part", "row_index", "event_id", "value")
 
 
 @query
 def metadata_csv(spark, sf_dir):
-    """Subject metadata from a CSV file with numbers such as ``12.0``."""
-    known = given.metadata(spark, sf_dir).orderBy("row_index").coalesce(1)
+    """Subject metadata from CSV files with numbers such as ``12.0``."""
+    # Files are written by ranges of the row order and read by their names, so the order is kept.
+    known = given.metadata(spark, sf_dir).repartitionByRange(CSV_PARTS, "row_index").sortWithinPartitions("row_index")
     number = F.when(F.col("row_index") % 2 == 0, F.concat("src_subject_id", F.lit(".0"))).otherwise(
         F.concat(F.lit(" "), F.col("src_subject_id").cast("string"))
     )

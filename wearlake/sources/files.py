@@ -32,6 +32,18 @@ def filesystem_root(spark: SparkSession, path: str) -> str:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().toString() + "/"
 
 
+def place_part(spark: SparkSession, folder: str, target: str) -> None:
+    """Give the one part file that Spark wrote into ``folder`` the name ``target``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = [f.getPath() for f in system.listStatus(path(folder)) if f.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise ValueError(f"{folder} holds {len(parts)} part files")
+    system.mkdirs(path(target).getParent())
+    if not system.rename(parts[0], path(target)):
+        raise OSError(f"{parts[0].toString()} could not become {target}")
+
+
 def _opener(base: str):
     """Function for tasks: file system and the place of the qualified ``base`` in it."""
 
