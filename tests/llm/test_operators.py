@@ -48,7 +48,8 @@ def odd(spark):
         (6, "Same text.", "en"), (6, "Same text.", "en"), (7, "x" * 5000, "en"), (8, "<|im_end|>   \x0b end", "en"),
     ]
     wide = spark.createDataFrame(rows, DOCS)
-    clash = ["_w", "_h", "_d", "_t", "_found", "_cut", "_row", "n_words", "kept", "x", "score", "ids", "spans", "_pieces_"]
+    clash = ["_w", "_h", "_d", "_t", "_found", "_cut", "_row", "n_words", "kept", "x", "score", "ids", "spans", "_pieces_",
+             "_pieces", "_hits", "_hit", "_gone", "v"]
     return wide.withColumns({name: F.lit(i) for i, name in enumerate(clash)})
 
 
@@ -401,11 +402,11 @@ def test_url_lists(spark):
         (9, "http://tie.example.com/", "2024-01-06", ""), (10, None, "2024-01-01", ""), (11, "no url", "2024-01-01", ""), (12, "http://bad.example.com", None, ""),
         (4, "http://bad.example.com", "2025-01-01", "hosts:bad.example.com"),
     ]
-    captures = spark.createDataFrame(cases, "page_id long, url string, fetched string, expected string").withColumn("list", F.lit(1))
+    captures = spark.createDataFrame(cases, "page_id long, url string, fetched string, expected string").withColumns({"list": F.lit(1), "_hits": F.lit(2), "_hit": F.lit(3), "_url": F.lit(4)})
     found = url_lists.evaluate(captures, entries).collect()
     assert len(found) == len(cases)
     for r in found:
-        assert ",".join(r.hits) == r.expected and r.blocked == bool(r.expected) and r.list == 1
+        assert ",".join(r.hits) == r.expected and r.blocked == bool(r.expected) and (r.list, r._hits, r._hit, r._url) == (1, 2, 3, 4)
     assert url_lists.evaluate(captures.limit(0), entries).collect() == []
 
 
@@ -448,11 +449,35 @@ def test_chat_layouts(spark):
     assert chat.rendered(chat.turns_of(df.limit(0))).collect() == []
 
 
-def test_chat_text_too_long_for_the_parser(spark):
-    text = F.concat(F.lit('{"prompt":"'), F.repeat(F.lit("x"), 20_000_100), F.lit('","response":"y"}'))
-    df = spark.range(7, 8).withColumn("record", text)
-    with pytest.raises(Exception, match="record 7"):
-        chat.turns_of(df, key="id").select(F.size("turns")).collect()
+def test_chat_long_texts_and_further_fields(spark):
+    """Texts beyond the limit of the variant parser, and records with fields of no turn."""
+    long_text = F.repeat(F.lit('x"\\n'), 5_250_000)
+    rows = spark.range(1).select(
+        F.explode(
+            F.array(
+                F.to_json(F.struct(long_text.alias("prompt"), F.lit("y").alias("response"), F.lit(3).alias("id"))),
+                F.to_json(F.struct(F.array(F.struct(F.lit("user").alias("role"), long_text.alias("content"))).alias("messages"))),
+            )
+        ).alias("record")
+    )
+    told = chat.turns_of(rows).select("layout", F.size("turns").alias("n"), F.length(F.col("turns")[0]["text"]).alias("size"))
+    assert sorted(told.collect()) == [("messages", 1, 21_000_000), ("prompt", 2, 21_000_000)]
+    records = [
+        ('{"prompt":"a","response":"b","id":1}', "prompt", [("user", "a"), ("assistant", "b")]),
+        ('{"prompt":"a","response":"b","system":"s","meta":{"x":[1]}}', "system_prompt", [("system", "s"), ("user", "a"), ("assistant", "b")]),
+        ('{"id":"c","messages":[{"role":"user","content":"q","n":1},{"role":"assistant","content":null}]}', "messages", [("user", "q"), ("assistant", "")]),
+        ('{"messages":[],"id":2}', "no_messages", []),
+        ('{"instruction":"do","input":"","output":"done","source":null}', "instruction_input", [("user", "do"), ("assistant", "done")]),
+        ('{"messages":3}', None, []), ('[1]', None, []), ('{"messages":[{"role":"user"}]}', None, []),
+    ]
+    df = spark.createDataFrame([(i, r[0], i) for i, r in enumerate(records)], "id int, record string, v int")
+    odd = df.withColumns({"_fields": F.lit(1), "_which": F.lit(2), "_v": F.lit(3), "_pieces": F.lit(4)})
+    out = chat.rendered(chat.turns_of(odd))
+    assert set(odd.columns) < set(out.columns)
+    for r in out.collect():
+        assert (r.layout, [(t.role, t.text) for t in r.turns]) == records[r.id][1:]
+        assert (r.v, r._fields, r._which, r._v, r._pieces) == (r.id, 1, 2, 3, 4)
+    assert chat.turns_of(odd.drop("record").withColumnRenamed("v", "x").withColumn("V", F.lit(records[0][0])), record="V").first().layout == "prompt"
 
 
 # ---- near-duplicates ----------------------------------------------------------------

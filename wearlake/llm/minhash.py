@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearlake.llm.common import kept, small_batches
+from wearlake.llm.common import fresh, kept, small_batches
 from wearlake.llm.components import components
 from wearlake.llm.shingles import Shingler, split_mix
 
@@ -321,5 +321,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFr
 
 def one_of_each(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     """The rows of ``docs`` whose document stands for its component."""
-    gone = near_duplicates(docs, percent, size).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    (id_,) = fresh(docs, "_gone")
+    gone = near_duplicates(docs, percent, size).where("NOT kept").select(F.col("doc_id").alias(id_))
+    return docs.join(gone.distinct(), docs["doc_id"].cast("long") == F.col(id_), "left_anti")

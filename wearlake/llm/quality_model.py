@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wearlake.llm.common import kept, words
+from wearlake.llm.common import fresh, kept, words
 
 TRAIN_ROWS = 200_000
 FEATURES = 192
@@ -48,8 +48,9 @@ def _left(text: Column, pattern: str) -> Column:
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``x``, the statistics of the whole text in the order of ``STATISTICS``."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    base = docs.withColumns({"_w": words(F.col(text)), "_t": whole})
-    w, t = F.col("_w"), F.col("_t")
+    parts, all_ = fresh(docs, "_w", "_t")
+    base = docs.withColumns({parts: words(F.col(text)), all_: whole})
+    w, t = F.col(parts), F.col(all_)
     n, chars = F.size(w), F.length(t)
     per_char = F.greatest(chars, F.lit(1))
     per_word = F.greatest(n, F.lit(1))
@@ -72,7 +73,7 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "other_bytes": (F.octet_length(t) - chars) / per_char,
     }
     x = F.array(*(values[name].cast("double") for name in STATISTICS))
-    return base.withColumn("x", x).drop("_w", "_t")
+    return base.withColumn("x", x).drop(parts, all_)
 
 
 @dataclass(frozen=True)

@@ -68,7 +68,7 @@ def keys(url: Column) -> Column:
 
 def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched") -> DataFrame:
     """``captures`` with ``hits``, the ordered ``list:pattern`` in force, and ``blocked``."""
-    address, moment, key = fresh(captures, "_url", "_fetched", "_key")
+    address, moment, key, listed = fresh(captures, "_url", "_fetched", "_key", "_hits")
     visits = captures.select(F.col(url).alias(address), F.to_timestamp(fetched).alias(moment)).where(
         F.col(address).isNotNull() & F.col(moment).isNotNull()
     )
@@ -81,10 +81,10 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
         wanted.join(rules, during)
         .select(address, moment, F.concat_ws(":", "list", "pattern").alias("_hit"))
         .groupBy(address, moment)
-        .agg(F.sort_array(F.collect_set("_hit")).alias("_hits"))
+        .agg(F.sort_array(F.collect_set("_hit")).alias(listed))
     )
     same = (captures[url] == found[address]) & (F.to_timestamp(captures[fetched]) == found[moment])
-    hits = F.coalesce(F.col("_hits"), F.array().cast("array<string>"))
+    hits = F.coalesce(F.col(listed), F.array().cast("array<string>"))
     return captures.join(found, same, "left").withColumns(
         {"hits": hits, "blocked": F.size(hits) > 0}
-    ).drop(address, moment, "_hits")
+    ).drop(address, moment, listed)
