@@ -114,6 +114,34 @@ def test_csv_holds_every_row(spark, study, opened, tmp_path):
         assert row["n_written"] == (len(study.frames[stem]) if exported else 0), stem
 
 
+def test_report_does_not_read_the_output(spark, study, opened, tmp_path):
+    """Rows are counted as they are written; a total that is not as promised is counted again."""
+    limits = {"acc": 7}
+    rows = converted(spark, study, opened, row_limits=limits)
+    rows["temp"] = rows["temp"].limit(0)
+    written = plan.write_study(rows, str(tmp_path / "out"))
+    assert written == {signal: rows[signal].count() for signal in SIGNALS} and written["temp"] == 0
+    read = {r["path"]: r["n_written"] for r in plan.study_report(spark, opened, str(tmp_path / "out")).collect()}
+    told = plan.study_report(spark, opened, str(tmp_path / "out"), written, limits)
+    assert {r["path"]: r["n_written"] for r in told.collect()} == read
+    # With nothing there to read, only the signal whose total is not as promised is lost.
+    gone = plan.study_report(spark, opened, str(tmp_path / "none"), written | {"eda": 3}, limits)
+    assert {r["path"]: r["n_written"] for r in gone.collect()} == {p: 0 if "_eda_" in p else n for p, n in read.items()}
+
+
+def test_recording_as_spark_writes_it(spark, study, tmp_path):
+    """Instants of 96 bits, and hidden files beside the recording."""
+    whole = recordings.scan(spark, recordings.listing_of(spark, study.base).where(F.col("path").endswith("SP1_e4_eda_left.parquet")), "eda")
+    columns = ["timestamp_utc", "timestamp_local", "timezone", "day_of_study", "device_worn", "eda"]
+    whole.orderBy("row_index").select(*columns).coalesce(1).write.option("compression", "gzip").parquet(str(tmp_path / "part"))
+    files.place_part(spark, str(tmp_path / "part"), str(tmp_path / "study" / "SP1" / "SP1_e4_eda_left.parquet"))
+    (tmp_path / "study" / "SP1" / "_SUCCESS").write_text("")
+    listed = recordings.listing_of(spark, str(tmp_path / "study"))
+    assert [r.file_name for r in files.list_files(spark, str(tmp_path / "study")).collect()] == ["SP1_e4_eda_left.parquet"]
+    again = recordings.scan(spark, listed, "eda")
+    assert rows_of(again.select("row_index", *columns)) == rows_of(whole.select("row_index", *columns))
+
+
 def test_csv_keeps_the_row_order(spark, study, opened, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
     try:

@@ -500,6 +500,28 @@ ORACLES["rolling_nan"] = BAND.replace(
 rec AS (SELECT * REPLACE (CASE WHEN event_id % 1000 < 700 THEN value ELSE 1e7 + event_id % 17 END AS value) FROM part)""",
 ).replace(", 6)", ", 5)")
 
+STUDY = f"""{REC},
+placed AS (
+  SELECT user_id % 12 + 1 AS p, {SIGNAL} AS signal, CASE WHEN event_id % 2 = 0 THEN 'left' ELSE 'right' END AS side,
+         event_id, value, worn FROM rec
+)"""
+
+ORACLES["study_files"] = f"""WITH {STUDY}
+SELECT 'SP' || p AS folder, 'SP' || p || '_e4_' || signal || '_' || side || '.parquet' AS file_name,
+       true AS readable, CAST(count(*) AS BIGINT) AS n_rows FROM placed GROUP BY p, signal, side
+UNION ALL SELECT 'SP1', 'SP1_e4_eda_left_old.parquet', false, NULL
+UNION ALL SELECT 'SP13', NULL, false, NULL"""
+ORACLES["study_scan"] = f"""WITH {STUDY}
+SELECT 'SP' || p AS participant_id, CAST(p AS BIGINT) AS subject_id, side,
+       row_number() OVER (PARTITION BY p, side ORDER BY event_id) - 1 AS row_index,
+       value AS eda, CAST(worn AS INTEGER) AS device_worn FROM placed WHERE signal = 'eda'"""
+ORACLES["study_report"] = f"""WITH {STUDY},
+sides AS (SELECT p, signal, side, CAST(count(*) AS BIGINT) AS n FROM placed WHERE signal <> 'bvp' GROUP BY 1, 2, 3),
+whole AS (SELECT p, count(DISTINCT signal) = 4 AS complete FROM sides GROUP BY 1)
+SELECT 'SP' || p AS participant_id, signal, side, n AS n_rows, true AS ok, false AS misplaced, complete,
+       CASE WHEN NOT complete THEN 0 WHEN signal = 'acc' THEN least(n, 100) ELSE n END AS n_written
+FROM sides JOIN whole USING (p)"""
+
 ORACLES["signal_report"] = f"""
 SELECT * FROM (
     WITH {REC}, m AS (SELECT *, date_trunc('minute', local) AS minute FROM rec)

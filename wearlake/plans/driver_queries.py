@@ -16,6 +16,7 @@ from wearlake.operators.keyed import materialise, positions, stored
 from wearlake.plans import analysis
 from wearlake.plans import convert as conversion
 from wearlake.plans import driver_tables as given
+from wearlake.plans import study
 from wearlake.schema import template_columns
 from wearlake.session import scratch_path
 from wearlake.sources import files, recordings, selection, sinks, tables
@@ -667,6 +668,36 @@ def flat_count(spark, sf_dir):
     return rolling.flat_count(flagged, SIGNAL)
 
 
+# ---- a study from its folder ------------------------------------------------------
+
+
+@query
+def study_files(spark, sf_dir):
+    """Every file of a study's folder with the rows its footer tells."""
+    base = given.study_tree(spark, sf_dir)
+    listed = files.with_footers(files.list_files(spark, base), base)
+    return listed.select("folder", "file_name", "readable", "n_rows")
+
+
+@query
+def study_scan(spark, sf_dir):
+    """The rows of all recordings of one signal, by their place in the file."""
+    listed = recordings.listing_of(spark, given.study_tree(spark, sf_dir))
+    rows = recordings.scan(spark, listed, "eda")
+    return rows.select("participant_id", "subject_id", "side", "row_index", "eda", "device_worn")
+
+
+@query
+def study_report(spark, sf_dir):
+    """Opened, converted with a limit for one signal, written, and reported without reading the output."""
+    limits = {"acc": 100}
+    opened = study.open_study(spark, given.study_tree(spark, sf_dir))
+    target = scratch_path(spark, "archive")
+    written = study.write_study(study.convert_study(spark, opened, row_limits=limits, as_of=given.AS_OF), target)
+    report = study.study_report(spark, opened, target, written, limits)
+    return report.select("participant_id", "signal", "side", "n_rows", "ok", "misplaced", "complete", "n_written")
+
+
 # ---- a whole report -------------------------------------------------------------
 
 

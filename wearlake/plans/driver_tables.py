@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from wearlake.functions import fields
 from wearlake.functions.months import completed_months
-from wearlake.session import prepare
+from wearlake.session import prepare, scratch_path
+from wearlake.sources import files
 
 SERIES = ("user_id", "event_type")
 SIGNAL = ("event_type",)
@@ -70,6 +71,39 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+STUDY_PARTICIPANTS = 12
+
+
+def study_tree(spark: SparkSession, sf_dir: str) -> str:
+    """All events as a study's folder: a recording for each participant, signal and wrist side.
+
+    Users are dealt to a fixed number of participants, so that recordings grow with the
+    table. There are recordings of a signal that no study asks for, a file without a byte
+    and a participant's folder without files.
+    """
+    base, parts = scratch_path(spark, "study"), scratch_path(spark, "parts")
+    signal = F.create_map(*(F.lit(x) for pair in SIGNAL_OF.items() for x in pair))
+    keys = ["participant", "signal", "side"]
+    rows = recordings(spark, sf_dir).select(
+        (F.pmod("user_id", F.lit(STUDY_PARTICIPANTS)) + 1).cast("int").alias("participant"),
+        signal[F.col("event_type")].alias("signal"),
+        F.when(F.col("device_position") == 0, "left").otherwise("right").alias("side"),
+        "event_id", "timestamp_utc", "timestamp_local", "timezone", "day_of_study", "device_worn",
+        "x_g", "y_g", "z_g", "eda", "ibi", "temp",
+    )
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "event_id").drop("event_id")
+    rows.write.partitionBy(*keys).parquet(parts)
+    for row in rows.select(*keys).distinct().collect():
+        folder = f"{parts}/participant={row.participant}/signal={row.signal}/side={row.side}"
+        name = f"SP{row.participant}_e4_{row.signal}_{row.side}.parquet"
+        files.place_part(spark, folder, f"{base}/SP{row.participant}/{name}")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(f"{base}/SP{STUDY_PARTICIPANTS + 1}"))
+    system.create(path(f"{base}/SP1/SP1_e4_eda_left_old.parquet")).close()
+    return base
+
+
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rows per subject, so that the first one counts; some users have none."""
     suppliers = table(spark, sf_dir, "supplier")

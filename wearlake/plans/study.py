@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wearlake.operators.audit import audit
@@ -117,36 +118,65 @@ def convert_study(
     }
 
 
-def write_study(converted: Mapping[str, DataFrame], target: str) -> None:
-    """One CSV tree per signal below ``target``."""
-    for signal, rows in converted.items():
-        sinks.write_csv(rows, f"{target.rstrip('/')}/{signal}", SERIES)
-
+def write_study(converted: Mapping[str, DataFrame], target: str) -> dict[str, int]:
+    """One CSV tree per signal below ``target``; the rows written of each signal.
 
-def study_report(spark: SparkSession, study: Study, target: str) -> DataFrame:
+    The rows are counted as they are written.
+    """
+    written = {}
+    for signal, rows in converted.items():
+        seen = Observation(f"written {signal}")
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        sinks.write_csv(counted, f"{target.rstrip('/')}/{signal}", SERIES)
+        written[signal] = seen.get["n"]
+    return written
+
+
+def _read_again(spark: SparkSession, target: str, signal: str) -> DataFrame | None:
+    """Rows of each recording in the output; a signal without any row has no files."""
+    try:
+        raw = spark.read.option("header", True).csv(f"{target.rstrip('/')}/{signal}")
+    except Exception as problem:
+        if "UNABLE_TO_INFER_SCHEMA" in str(problem) or "PATH_NOT_FOUND" in str(problem):
+            return None
+        raise
+    if "participant_id" not in raw.columns:
+        return None
+    return raw.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n_written"))
+
+
+def study_report(
+    spark: SparkSession,
+    study: Study,
+    target: str,
+    written: Mapping[str, int] | None = None,
+    row_limits: Mapping[str, int] | None = None,
+) -> DataFrame:
     """Every recording looked at, with the rows written for it and any problem.
 
-    Rows are counted in the output, so the report says what is really there. A
-    recording without rows has no directory and shows 0.
+    ``written`` is what :func:`write_study` returned, ``row_limits`` what was asked for.
+    Where a signal's total is that of its recordings' footers, up to the limit, each
+    recording was written as its footer says and the output is not read; where it is not,
+    and without ``written``, rows are counted in the output. A recording without rows shows 0.
     """
-    written = None
+    limits = dict(row_limits or {})
+    limit = F.lit(None).cast("bigint")
+    for signal, n in limits.items():
+        limit = F.when(F.col("signal") == signal, F.nullif(F.lit(n), F.lit(-1))).otherwise(limit)
+    expected = study.recordings.select(*SERIES, F.least("n_rows", limit).alias("n_written"))
+    sums = {r.signal: r.n for r in expected.groupBy("signal").agg(F.sum("n_written").alias("n")).collect()}
+    parts = []
     for signal in SIGNALS:
-        try:
-            raw = spark.read.option("header", True).csv(f"{target.rstrip('/')}/{signal}")
-        except Exception as problem:  # a signal without any row has no files
-            if "UNABLE_TO_INFER_SCHEMA" in str(problem) or "PATH_NOT_FOUND" in str(problem):
-                continue
-            raise
-        if "participant_id" not in raw.columns:
-            continue
-        counted = raw.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("n_written"))
-        written = counted if written is None else written.unionByName(counted)
+        if written is not None and written.get(signal) == sums.get(signal, 0):
+            parts.append(expected.where(F.col("signal") == signal))
+        elif (counted := _read_again(spark, target, signal)) is not None:
+            parts.append(counted)
     complete = study.completeness.select("folder", "complete", "missing")
     report = study.audit.join(complete, "folder", "left")
-    if written is None:
-        report = report.withColumn("n_written", F.lit(None).cast("bigint"))
+    if parts:
+        report = report.join(reduce(DataFrame.unionByName, parts), list(SERIES), "left")
     else:
-        report = report.join(written, list(SERIES), "left")
+        report = report.withColumn("n_written", F.lit(None).cast("bigint"))
     return report.select(
         "folder", *SERIES, "path", "length", "n_rows", "ok", "misplaced", "complete", "missing",
         F.coalesce("n_written", F.lit(0)).alias("n_written"),

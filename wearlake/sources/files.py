@@ -64,7 +64,8 @@ def _opener(base: str):
 def list_files(spark: SparkSession, base: str) -> DataFrame:
     """Files of every folder directly under ``base``, empty files included.
 
-    A folder without files gives one row without file. Spark's own sources leave out
+    Files that begin with a dot or an underscore are none, as in Spark. A folder without
+    files gives one row without file. Spark's own sources leave out
     empty files and folders, which an audit must name, so tasks list: one the folders,
     then each folder where it lands. Paths are spelled as Spark's scans spell them.
     """
@@ -97,7 +98,8 @@ def _listed(folders: DataFrame, root: str, open_base) -> DataFrame:
             for folder in batch["folder"]:
                 below = f"/{folder}" if folder else ""
                 found = system.get_file_info(fs.FileSelector(place + below))
-                kept = [f for f in found if f.type == fs.FileType.File]
+                # Names that Spark's sources skip: checksums, marks of a finished job.
+                kept = [f for f in found if f.type == fs.FileType.File and f.base_name[0] not in "._"]
                 if not kept:
                     yield pd.DataFrame(
                         {"folder": [folder], "file_name": [None], "path": [None], "length": [None]}
@@ -141,7 +143,10 @@ def with_footers(files: DataFrame, base: str) -> DataFrame:
                 with system.open_input_file(place + path.removeprefix(root)) as source:
                     file = pq.ParquetFile(source)
                     about, schema = file.metadata, file.schema_arrow
-                columns = [{"name": f.name, "type": str(f.type)} for f in schema]
+                    stored = {file.schema.column(i).path: file.schema.column(i).physical_type for i in range(len(file.schema))}
+                columns = [
+                    {"name": f.name, "type": "timestamp[int96]" if stored.get(f.name) == "INT96" else str(f.type)} for f in schema
+                ]
                 return (
                     True, None, about.num_rows, len(schema), about.num_row_groups,
                     about.created_by, columns,

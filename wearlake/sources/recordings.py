@@ -31,6 +31,8 @@ def _read_type(arrow_type: str) -> str | None:
         return None
     if arrow_type.startswith("timestamp[ns"):
         return "bigint"
+    if arrow_type == "timestamp[int96]":
+        return "timestamp"
     if arrow_type.startswith("timestamp["):
         return "timestamp" if "tz=" in arrow_type else "timestamp_ntz"
     if arrow_type.startswith("dictionary<values=string"):
