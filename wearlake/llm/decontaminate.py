@@ -22,6 +22,8 @@ do not matter.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,9 @@ LEAST_CONSISTENT = 0.8
 # Hashes of item windows are broadcast up to this number (16 bytes each), joined by
 # shuffling beyond it.
 BROADCAST_HASHES = 2_000_000
+# Up to so many item windows, their first two codes are listed: a place of a document is
+# hashed only if a window begins like that. Beyond it all places are hashed.
+LISTED_BEGINS = 200_000
 
 # Placeholders. All digits go, so these three tokens are free.
 NUMBER, NAME, UNIT = "0", "1", "2"
@@ -80,6 +85,33 @@ def _coded(text: Column, kind: int) -> Column:
     return F.transform(template(text, kind), lambda x: F.xxhash64(x))
 
 
+def _with_codes(texts: DataFrame, kinds: Iterable[int]) -> DataFrame:
+    """Adds the codes of each kind of ``text`` as ``k`` and the kind; numbers are looked for once."""
+    given = texts.withColumn("_numbered", _numbered(F.coalesce(F.col("text"), F.lit(""))))
+    measured = F.regexp_replace("_numbered", _UNIT, "$1 2 ")
+    tokens = {
+        TYPED: _parted(F.regexp_replace(measured, _NAME, " 1 "), "0-2"),
+        NUMBERED: _parted(F.col("_numbered"), "0"),
+        EXACT: template(F.col("text"), EXACT),
+    }
+    coded = {f"k{kind}": F.transform(tokens[kind], lambda x: F.xxhash64(x)) for kind in kinds}
+    return given.withColumns(coded).drop("_numbered")
+
+
+def _begin(codes: str, at: str, size: int) -> str:
+    """What a window of ``size`` tokens at place ``at`` (from 1) begins with: its first codes as one number."""
+    first = f"{codes}[{at} - 1]"
+    return first if size == 1 else f"({first} ^ shiftleft({codes}[{at}], 1))"
+
+
+def _begun(codes: str, size: int, starts: str, begins: list[int] | None) -> str:
+    """Of the places ``starts`` those where a window of an item may begin."""
+    if begins is None:
+        return starts
+    listed = ", ".join(f"{x}L" for x in begins)
+    return f"filter({starts}, i -> {_begin(codes, 'i', size)} IN ({listed}))" if begins else "CAST(array() AS ARRAY<INT>)"
+
+
 def _is_plain(kind: int) -> str:
     return f"NOT IN ({', '.join(f'xxhash64({x!r})' for x in _PLACEHOLDERS[kind])})"
 
@@ -113,12 +145,12 @@ def _own_windows(codes: str, kind: int, longest: int) -> str:
     return _windows(codes, kind, _places(codes, WINDOW), enough)
 
 
-def _all_windows(codes: str, kind: int, size: int) -> str:
-    """``kind``, ``at`` and ``hash`` of all runs of ``size`` tokens."""
-    return f"""transform({_places(codes, size)}, i -> named_struct('kind', {kind}, 'at', i - 1, 'hash', xxhash64({kind}, slice({codes}, i, {size}))))"""
+def _all_windows(codes: str, kind: int, size: int, begins: list[int] | None) -> str:
+    """``kind``, ``at`` and ``hash`` of the runs of ``size`` tokens that begin as a window of an item does."""
+    return f"""transform({_begun(codes, size, _places(codes, size), begins)}, i -> named_struct('kind', {kind}, 'at', i - 1, 'hash', xxhash64({kind}, slice({codes}, i, {size}))))"""
 
 
-def _long_windows(codes: str, kind: int, longest: int) -> str:
+def _long_windows(codes: str, kind: int, longest: int, begins: list[int] | None) -> str:
     """``kind``, ``at`` and ``hash`` of the windows that had to grow.
 
     Only a place with so many placeholders near that a window lacks words is looked at;
@@ -129,20 +161,18 @@ def _long_windows(codes: str, kind: int, longest: int) -> str:
         sequence(0, size({q}) - {more + 1}),
         k -> CASE WHEN {q}[k + {more}] - {q}[k] < {WINDOW} THEN sequence(greatest(1, {q}[k + {more}] - {WINDOW - 2}), {q}[k] + 1)
              ELSE CAST(array() AS ARRAY<INT>) END))) END"""
-    grown = _windows(codes, kind, starts, _grown(codes, kind, longest, "i"))
+    grown = _windows(codes, kind, _begun(codes, WINDOW, starts, begins), _grown(codes, kind, longest, "i"))
     return f"transform({grown}, w -> named_struct('kind', w.kind, 'at', w.at, 'hash', w.hash))"
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """``item_id``, ``kind``, ``at``, ``length``, ``upto``, ``hash`` and ``n_windows`` of an item's windows.
+    """``item_id``, ``kind``, ``at``, ``length``, ``upto``, ``hash``, ``n_windows`` and ``begin`` of an item's windows.
 
     ``upto`` is the last token the window speaks for: its own, or the item's if no window
     follows. Items without a window that says something have windows of exact tokens.
     """
     kinds = (TYPED, NUMBERED, EXACT)
-    given = items.where(F.col("item_id").isNotNull()).select(
-        "item_id", *(_coded(F.col("text"), kind).alias(f"k{kind}") for kind in kinds)
-    )
+    given = _with_codes(items.where(F.col("item_id").isNotNull()).select("item_id", "text"), kinds).drop("text")
     # No window of an item is longer than the item.
     longest = given.agg(F.max(F.greatest(F.size(f"k{TYPED}"), F.size(f"k{NUMBERED}")))).first()[0] or WINDOW
     said = F.expr(f"concat({', '.join(_own_windows(f'k{kind}', kind, max(longest, WINDOW)) for kind in _PLACEHOLDERS)})")
@@ -152,26 +182,33 @@ def item_windows(items: DataFrame) -> DataFrame:
     cut = given.withColumn("said", said)
     each = cut.select("*", F.explode(F.when(F.size("said") > 0, F.col("said")).otherwise(own)).alias("w"))
     last = F.expr(f"size(CASE w.kind WHEN {TYPED} THEN k{TYPED} WHEN {NUMBERED} THEN k{NUMBERED} ELSE {exact} END) - 1")
-    each = each.select("item_id", "w.*", last.alias("last")).distinct()
+    # The first two codes of a window, or its only one.
+    begin = [f"CASE WHEN w.length = 1 THEN {_begin(f'k{kind}', '(w.at + 1)', 1)} ELSE {_begin(f'k{kind}', '(w.at + 1)', 2)} END" for kind in kinds]
+    begins = F.expr(f"CASE w.kind WHEN {TYPED} THEN {begin[0]} WHEN {NUMBERED} THEN {begin[1]} ELSE {begin[2]} END")
+    each = each.select("item_id", "w.*", last.alias("last"), begins.alias("begin")).distinct()
     total = each.groupBy("item_id", "kind").agg(
         F.count("*").alias("n_windows"), F.max(F.struct("last", "at")).alias("end")
     )
     upto = F.when((F.col("end.at") == F.col("at")) & (F.col("end.last") == F.col("last")), F.col("last")).otherwise(
         F.col("at") + F.col("length") - 1
     )
-    return each.join(total, ["item_id", "kind"]).select("item_id", "kind", "at", "length", upto.alias("upto"), "hash", "n_windows")
+    return each.join(total, ["item_id", "kind"]).select(
+        "item_id", "kind", "at", "length", upto.alias("upto"), "hash", "n_windows", "begin"
+    )
 
 
-def _document_windows(docs: DataFrame, asked: dict[int, list[int]]) -> DataFrame:
-    """Windows of the kinds and lengths that ``asked`` names."""
-    cut = docs.select("doc_id", "t", *(_coded(F.col("text"), kind).alias(f"k{kind}") for kind in asked))
+def _document_windows(docs: DataFrame, asked: dict[int, list[int]], begins: dict[tuple[int, bool], list[int]] | None) -> DataFrame:
+    """Windows of the kinds and lengths that ``asked`` names, where ``begins`` lets one begin."""
+    cut = _with_codes(docs, asked).drop("text")
     parts = []
     for kind, lengths in asked.items():
-        parts += [_all_windows(f"k{kind}", kind, n) for n in (lengths if kind == EXACT else [WINDOW])]
+        for n in lengths if kind == EXACT else [WINDOW]:
+            parts.append(_all_windows(f"k{kind}", kind, n, None if begins is None else begins.get((kind, n == 1), [])))
         if kind != EXACT and max(lengths) > WINDOW:
             places = f"filter(transform(k{kind}, (x, i) -> CASE WHEN NOT (x {_is_plain(kind)}) THEN i END), i -> i IS NOT NULL)"
             cut = cut.withColumn(f"q{kind}", F.expr(places))
-            parts.append(_long_windows(f"k{kind}", kind, max(lengths)))
+            found = None if begins is None else begins.get((kind, False), [])
+            parts.append(_long_windows(f"k{kind}", kind, max(lengths), found))
     if not parts:
         return docs.select("doc_id", "t", F.expr("0 AS kind"), F.expr("0 AS at"), F.expr("0L AS hash")).limit(0)
     each = cut.select("doc_id", "t", F.explode(F.expr(f"concat({', '.join(parts)})")).alias("w"))
@@ -215,12 +252,17 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     wanted = kept(item_windows(items))
     lengths = wanted.groupBy("kind").agg(F.collect_set("length").alias("lengths"), F.count_distinct("hash").alias("n")).collect()
     asked = {r.kind: sorted(r.lengths) for r in sorted(lengths)}
+    begins: dict[tuple[int, bool], list[int]] | None = None
+    if sum(r.n for r in lengths) <= LISTED_BEGINS:
+        begins = {}
+        for r in wanted.select("kind", (F.col("length") == 1).alias("one"), "begin").distinct().collect():
+            begins.setdefault((r.kind, r.one), []).append(r.begin)
     hashes = wanted.select("hash").distinct()
     if sum(r.n for r in lengths) <= BROADCAST_HASHES:
         hashes = F.broadcast(hashes)
     pair = ["doc_id", "t", "item_id", "kind"]
     texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("t"), "text")
-    hits = kept(_document_windows(texts, asked).join(hashes, "hash", "left_semi").distinct())
+    hits = kept(_document_windows(texts, asked, begins).join(hashes, "hash", "left_semi").distinct())
     # A document that repeats a passage meets each window of the item there; one place
     # for each shift is enough for lining up, so pairs stay within a document.
     met = hits.join(wanted.withColumnRenamed("at", "here"), ["kind", "hash"]).select(
