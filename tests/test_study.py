@@ -129,6 +129,22 @@ def test_report_does_not_read_the_output(spark, study, opened, tmp_path):
     assert {r["path"]: r["n_written"] for r in gone.collect()} == {p: 0 if "_eda_" in p else n for p, n in read.items()}
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_planned_files(spark, study, opened, tmp_path, small):
+    """A series has as few files as its rows need, whichever way its scalars were joined."""
+    scanned = recordings.scan(spark, opened.recordings, "acc")
+    subjects, births = plan.side_tables(spark, study.metadata, study.visits)
+    rows = convert(
+        scanned.repartition(7), "acc", subjects, births, as_of=mini_study.AS_OF, small=small, keep_order=True, series_rows=20
+    )
+    plan.write_study({"acc": rows}, str(tmp_path), file_rows=30)
+    sizes = {(r.participant_id, r.side): r["count"] for r in scanned.groupBy("participant_id", "side").count().collect()}
+    for (participant, side), n in sizes.items():
+        folder = tmp_path / "acc" / f"participant_id={participant}" / "signal=acc" / f"side={side}"
+        held = sorted(len(pd.read_csv(f)) for f in folder.glob("*.csv"))
+        assert held == sorted([30] * (n // 30) + ([n % 30] if n % 30 else []))
+
+
 def test_recording_as_spark_writes_it(spark, study, tmp_path):
     """Instants of 96 bits, and hidden files beside the recording."""
     whole = recordings.scan(spark, recordings.listing_of(spark, study.base).where(F.col("path").endswith("SP1_e4_eda_left.parquet")), "eda")

@@ -13,6 +13,9 @@ from wearlake.functions.fields import DATE_FORMAT
 from wearlake.operators.keyed import BROADCAST_SERIES, join_on, materialise
 from wearlake.schema import DICTIONARY, DICTIONARY_TYPES
 
+# First bad rows that are looked up by a filter; more of them by a join.
+FEW_PLACES = 10_000
+
 
 @dataclass(frozen=True)
 class Element:
@@ -117,7 +120,8 @@ def validate(
 
     All rules are one hash aggregation over one scan: it holds numbers only, the place
     of the first bad row among them. That small result is frozen, then the values at
-    those places are looked up.
+    those places are looked up in ``rows`` again. Up to ``FEW_PLACES`` of them are a
+    filter on the row order that reaches the scan; no copy of the rows is made.
     """
     keys = list(keys)
     present = [element for element in dictionary if element.name in rows.columns]
@@ -145,6 +149,9 @@ def validate(
         .distinct()
     )
     small = tall.count() <= BROADCAST_SERIES
+    first = [r[0] for r in places.select(order).distinct().limit(FEW_PLACES + 1).collect()]
+    if len(first) <= FEW_PLACES:
+        rows = rows.where(F.col(order).isin(first))
     values = F.array(
         *(
             F.struct(

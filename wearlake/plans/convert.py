@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wearlake.functions import fields
 from wearlake.functions.months import age_in_months
 from wearlake.functions.zones import zone_fields
-from wearlake.operators.keyed import attach, broadcastable
+from wearlake.operators.keyed import attach, broadcastable, materialise
 from wearlake.operators.summary import bound_texts, series_summary
 from wearlake.schema import COMMON_OUTPUT, SENSORS, SERIES, output_columns
 
@@ -62,6 +62,7 @@ def convert(
     small: bool | None = None,
     keep_order: bool = False,
     series_rows: int | None = None,
+    freeze: bool = False,
 ) -> DataFrame:
     """Archive columns of one signal, with the series key in front.
 
@@ -70,12 +71,15 @@ def convert(
     has the skin temperature alone for every signal, ``sensors="temp"``. Samples are not
     shuffled: the scalars are broadcast if ``small``, which is measured if not given.
     ``keep_order`` adds the row order column after the key. ``series_rows`` bounds the rows
-    of a series that one task joins where scalars are not broadcast.
+    of a series that one task joins where scalars are not broadcast. ``freeze`` writes the
+    scalars, one row for each recording, so that several passes need not work them out again.
     """
     keys = list(keys)
     if small is None:
         small = broadcastable(rows, keys)
     scalars = series_scalars(rows, subjects, births, keys, order, as_of)
+    if freeze:
+        scalars = materialise(scalars)
     local = F.col("timestamp_local")
     computed = {
         "interview_date": fields.date_text(local),

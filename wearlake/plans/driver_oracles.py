@@ -392,6 +392,10 @@ ORACLES = {
         CAST(count(*) AS BIGINT) AS n_scanned, true AS ok, CAST(NULL AS VARCHAR) AS problem FROM {name}"""
         for name in TABLES
     ),
+    "csv_planned_files": """SELECT event_type, min(event_id) AS first_event, max(event_id) AS last_event,
+        CAST(count(*) AS BIGINT) AS n FROM (
+        SELECT event_type, event_id, (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 1000 AS file
+        FROM events) GROUP BY event_type, file""",
     "csv_texts": "SELECT doc_id, nullif(text, '') AS text, lang FROM documents",
     "csv_records": """SELECT doc_id, nullif(text, '') AS text, lang, source,
         row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents""",

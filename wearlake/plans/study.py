@@ -118,16 +118,16 @@ def convert_study(
     }
 
 
-def write_study(converted: Mapping[str, DataFrame], target: str) -> dict[str, int]:
+def write_study(converted: Mapping[str, DataFrame], target: str, file_rows: int | None = None) -> dict[str, int]:
     """One CSV tree per signal below ``target``; the rows written of each signal.
 
-    The rows are counted as they are written.
+    The rows are counted as they are written. ``file_rows`` plans the files, see ``write_csv``.
     """
     written = {}
     for signal, rows in converted.items():
         seen = Observation(f"written {signal}")
         counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        sinks.write_csv(counted, f"{target.rstrip('/')}/{signal}", SERIES)
+        sinks.write_csv(counted, f"{target.rstrip('/')}/{signal}", SERIES, file_rows=file_rows)
         written[signal] = seen.get["n"]
     return written
 

@@ -27,7 +27,11 @@ _WRITTEN = {
 
 
 def write_csv(
-    rows: DataFrame, path: str, keys: Sequence[str] = SERIES, order: str = "row_index"
+    rows: DataFrame,
+    path: str,
+    keys: Sequence[str] = SERIES,
+    order: str = "row_index",
+    file_rows: int | None = None,
 ) -> None:
     """CSV with header, blanks for nulls, one directory per series.
 
@@ -35,10 +39,23 @@ def write_csv(
     data. Rows are written where they are: no shuffle, no single-file bottleneck. A
     column ``order`` gives the row order within each file and is not written itself;
     the writer sorts by the key anyway, so this is no further sort.
+
+    With ``file_rows`` the files are planned: ``order`` must be the row number from 0, and
+    the n-th ``file_rows`` rows of a series are its n-th file, whichever task they came
+    from. A series has as few files as its rows need, however many tasks held them; its
+    files are still written by many tasks.
     """
-    if order in rows.columns:
+    if file_rows is not None:
+        plan = F.expr(f"`{order}` div {int(file_rows)}L")
+        rows = rows.withColumn("_file", plan).repartition(*keys, "_file")
+        rows = rows.sortWithinPartitions(*keys, "_file", order).drop("_file", order)
+    elif order in rows.columns:
         rows = rows.sortWithinPartitions(*keys, order).drop(order)
-    rows.write.mode("overwrite").partitionBy(*keys).options(**_WRITTEN).csv(path)
+    writer = rows.write.mode("overwrite").partitionBy(*keys).options(**_WRITTEN)
+    if file_rows is not None:
+        # A task that holds several files of a series begins a new one after each.
+        writer = writer.option("maxRecordsPerFile", int(file_rows))
+    writer.csv(path)
 
 
 def whole_moments(rows: DataFrame, source: str) -> DataFrame:
