@@ -196,11 +196,11 @@ def test_csv_keeps_texts(spark, tmp_path):
 def test_side_tables_as_found(spark, tmp_path):
     (tmp_path / "m.csv").write_text("src_subject_id,subjectkey,sex\n1.0,K1,F\n 2,K2,M\nx,K3,F\n")
     (tmp_path / "v.csv").write_text(
-        "src_subject_id,interview_date,interview_age\n001--1,01/28/2020,NaN\n001--1,2020-01-28,300.0\n001--1,?,12\n"
+        "src_subject_id,interview_date,interview_age\n007--1,06/17/2019,NaN\n007--1,2019-06-17,311.0\n007--1,?,12\n"
     )
     found = tables.read_metadata(spark, str(tmp_path / "m.csv")).collect()
     assert [(r.src_subject_id, r.subjectkey) for r in found] == [(1, "K1"), (2, "K2"), (None, "K3")]
     visits = tables.read_visits(spark, str(tmp_path / "v.csv")).collect()
     assert [(str(r.interview_date), r.interview_age) for r in visits] == [
-        ("2020-01-28", None), ("2020-01-28", 300), ("None", 12),
+        ("2019-06-17", None), ("2019-06-17", 311), ("None", 12),
     ]

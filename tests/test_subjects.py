@@ -76,9 +76,9 @@ def test_one_subject_with_most_visits(spark):
 
 def test_visits_file(spark, tmp_path):
     path = tmp_path / "visits.csv"
-    path.write_text("x,src_subject_id,interview_age,interview_date\n,001--1,294.0,2020-01-28\n,2,,soon\n")
+    path.write_text("x,src_subject_id,interview_age,interview_date\n,007--1,311.0,2019-06-17\n,2,,soon\n")
     found = [tuple(r) for r in tables.read_visits(spark, str(path)).collect()]
-    assert found == [("001--1", date(2020, 1, 28), 294), ("2", None, None)]
+    assert found == [("007--1", date(2019, 6, 17), 311), ("2", None, None)]
 
 
 def test_metadata_over_several_splits_keeps_file_order(spark, tmp_path):

@@ -71,6 +71,7 @@ DICTIONARY_TYPES = {
     "File": T.StringType(),
 }
 
+# ---- fixed values: columns of recordings, subject metadata and visits ---------
 # Columns a recording may carry besides its sensor columns, with canonical types.
 RECORDING_TYPES = {
     "timestamp_utc": "timestamp",
