@@ -32,6 +32,20 @@ def test_csv_rows_are_numbered_over_splits(spark, tmp_path, small_splits):
     ]
 
 
+def test_csv_rows_run_on_through_the_files_of_a_series(spark, tmp_path, small_splits):
+    n = {"hot": 3000, "cold": 40, None: 7}
+    rows = spark.createDataFrame([(k, i) for k, size in n.items() for i in reversed(range(size))], "kind string, v long")
+    ranges = rows.repartitionByRange(5, "kind", "v").sortWithinPartitions("kind", "v")
+    sinks.write_csv(ranges, str(tmp_path / "out"), ["kind"], order="_none")
+    raw = spark.read.schema("v long, kind string").options(**sinks.CSV).csv(str(tmp_path / "out"))
+    read = tables.with_csv_rows(raw.withColumn("file", F.col("_metadata.file_name")), keys=["kind"])
+    found = read.collect()
+    assert len({r.file for r in found if r.kind == "hot"}) > 1
+    assert sorted((str(r.kind), r.v, r.row_index) for r in found) == sorted(
+        (str(k), i, i) for k, size in n.items() for i in range(size)
+    )
+
+
 def test_files_are_read_by_extension(spark, tmp_path):
     frame = pd.DataFrame({"v": range(50), "w": [f"t{i}" for i in range(50)]})
     frame.to_csv(tmp_path / "x.csv", index=False)
