@@ -225,6 +225,12 @@ def test_parts_of_items_and_short_items(spark):
     assert verdicts(spark, [long_item, short, "?!"], texts) == {(0, 0): "verbatim", (1, 0): "verbatim", (3, 1): "verbatim"}
 
 
+def test_long_runs_of_names_and_numbers(spark):
+    """Names in a row, and a number of many groups, that overflowed the stack of a task."""
+    names, number = "Von " * 20_000, "1" + ".12" * 20_000
+    assert verdicts(spark, [ITEM], [f"{names}, {number} then. {ITEM} After {names}", names, number]) == {(0, 0): "verbatim"}
+
+
 # ---- quality rules ------------------------------------------------------------------
 
 

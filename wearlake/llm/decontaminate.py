@@ -47,13 +47,15 @@ LISTED_BEGINS = 200_000
 
 # Placeholders. All digits go, so these three tokens are free.
 NUMBER, NAME, UNIT = "0", "1", "2"
-_NUMBER = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*"
+# Repeated groups are possessive: these the regex engine steps through, others it enters once
+# a repeat, and some 1,200 repeats in a text overflow the stack, which ends the executor.
+_NUMBER = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*+"
 _UNIT = (
     r"( 0 )\s*(km|cm|mm|m|kg|mg|g|t|lb|lbs|oz|miles?|feet|foot|inch(?:es)?|yards?|met(?:er|re)s?|kilomet(?:er|re)s?"
     r"|grams?|kilograms?|tons?|lit(?:er|re)s?|l|ml|gallons?|hours?|hrs?|h|minutes?|min|seconds?|sec|s|days?|weeks?"
     r"|months?|years?|dollars?|euros?|cents?|pounds?|percent|[$€£%°])(?![\p{L}])"
 )
-_NAME = r"(?<![\p{L}\p{M}])\p{Lu}\p{Ll}+(?:\s+\p{Lu}\p{Ll}+)*"
+_NAME = r"(?<![\p{L}\p{M}])\p{Lu}\p{Ll}+(?:\s+\p{Lu}\p{Ll}+)*+"
 # Kinds of tokens: all placeholders, numbers alone as placeholders, words and numbers as they stand.
 TYPED, NUMBERED, EXACT = 1, 2, 3
 _PLACEHOLDERS = {TYPED: (NUMBER, NAME, UNIT), NUMBERED: (NUMBER,)}
