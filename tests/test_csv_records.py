@@ -1,10 +1,13 @@
 """CSV with line feeds in quoted fields, cut at any place, next to pandas."""
 
+import os
 import random
 
 import pandas as pd
 import pytest
 
+from wearlake.plans import driver_queries
+from wearlake.session import scratch_dir, settings
 from wearlake.sources import csv_records, tables
 
 
@@ -48,6 +51,50 @@ def test_a_text_over_many_splits(spark, tmp_path):
     assert [(r.id, r.text) for r in rows] == [("1", inner), ("2", "short")]
 
 
+def bytes_in(folder):
+    return sum(os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(folder) for name in names)
+
+
+def large(path):
+    """Rows of texts that hardly compress, with line feeds and quotes."""
+    rng = random.Random(5)
+    texts = [f'said "{rng.randbytes(600).hex()}",\n\n{rng.randbytes(300).hex()}\r\n{i}' for i in range(1200)]
+    pd.DataFrame({"id": range(len(texts)), "text": texts}).to_csv(path, index=False)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("split", [None, 5_000])
+def test_records_are_written_once(spark, tmp_path, split):
+    path = str(tmp_path / "large.csv")
+    rows, before = large(path), bytes_in(scratch_dir(spark))
+    # Many tasks, of one split or of several.
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "50000"}):
+        read = csv_records.read_csv(spark, path, split)
+        assert bytes_in(scratch_dir(spark)) - before < os.path.getsize(path)
+        assert sorted((r.row_index, r.text) for r in read.collect()) == rows
+
+
+def test_splits_that_change_between_the_passes_are_refused(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "large.csv")
+    large(path)
+    step = csv_records._stepped
+    monkeypatch.setattr(csv_records, "_stepped", lambda lines: step(lines.where("block = 0")))
+    with pytest.raises(Exception, match="cut otherwise"):
+        csv_records.read_csv(spark, path, 50_000)
+
+
+def test_query_over_more_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(driver_queries, "RANGE_ROWS", 10)
+    rows = [(None if i % 40 == 7 else i * 7 % 90, f'a "b",\n{i}', "en", "s") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(driver_queries.QUERIES["csv_records"](spark, str(tmp_path)).collect(), key=lambda r: r.place)
+    assert [r.place for r in found] == list(range(100))
+    ids = sorted((row[0] for row in rows), key=lambda x: (x is not None, x))
+    assert [r.doc_id for r in found] == ids
+    assert sorted((str(r.doc_id), r.text) for r in found) == sorted((str(row[0]), row[1]) for row in rows)
+
+
 def test_files_are_numbered_each_for_itself(spark, tmp_path):
     for n in range(3):
         pd.DataFrame({"a": [f"{n}\n{i}" for i in range(5)]}).to_csv(tmp_path / f"{n}.csv", index=False)

@@ -1,48 +1,133 @@
 """CSV whose quoted fields may hold line feeds, cut into records over many splits.
 
 Spark reads such files whole, one task for each file, or cuts records at every line feed.
-Here lines are read in splits. A line takes a reader that stands outside or inside a quoted
-field to one of the two; most lines change nothing. These steps are put together first along
-the lines of a split, then along the splits of a file, so that every line knows whether it
-begins a record and which number that has. Only then are lines of one record brought together
-and parsed.
+Here lines are read in splits, twice. A line takes a reader that stands outside or inside a
+quoted field to one of the two. The first pass puts these steps together along the lines of a
+split, and one row for each split tells where a reader ends that enters it outside or inside.
+Put together along a file, these rows tell how every split is entered and which record begins
+there. The second pass then cuts each split into records where it is read: lines are neither
+kept nor sent to other tasks. Only records that reach over a split's end are brought together.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearlake.operators.keyed import join_on, stored
+from wearlake.operators.keyed import stored
+from wearlake.session import settings
 from wearlake.sources import sinks
 
-# Where a reader stands: before a field, in a bare field, in a quoted one, after a quote in it.
-_FIELD, _BARE, _QUOTED, _AFTER = range(4)
+# Bytes of lines or records that are handed to or from a Python task at a time.
+BATCH_BYTES = 4 << 20
 
+_SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
 
-def _leaves_quoted(line: Column, entry: int) -> Column:
-    """Whether a reader that enters ``line`` in the state ``entry`` leaves it inside a quoted field.
+SPLIT = "file string, block long, outer boolean, inner boolean, n_outer long, n_inner long"
+PIECE = "file string, block long, record long, part boolean, text binary"
 
-    Between two quotes of a line only commas matter. A quote opens a field only at its
-    start; within a quoted field two quotes are one of the text.
-    """
 
-    def step(at: Column, piece: Column) -> Column:
-        outside = F.when(piece.endswith(","), _FIELD).otherwise(_BARE)
-        read = F.when((piece == "") | (at["s"] == _QUOTED), at["s"]).otherwise(outside)
-        # Every piece but the first follows a quote.
-        quoted = (
-            F.when(at["s"] == _FIELD, _QUOTED)
-            .when(at["s"] == _QUOTED, _AFTER)
-            .when(at["s"] == _AFTER, _QUOTED)
-            .otherwise(_BARE)
-        )
-        after = F.when((piece == "") | (quoted == _QUOTED), quoted).otherwise(outside)
-        return F.struct(F.when(at["first"], read).otherwise(after).cast("int").alias("s"), F.lit(False).alias("first"))
+def _reader() -> Callable[[bytes, bool], bool]:
+    """Whether a reader that enters a line inside a quoted field, or outside, leaves it inside.
 
-    start = F.struct(F.lit(entry).cast("int").alias("s"), F.lit(True).alias("first"))
-    walked = F.aggregate(F.split(line, '"', -1), start, step, lambda at: at["s"] == _QUOTED)
-    return F.when(F.contains(line, F.lit('"')), walked).otherwise(F.lit(entry == _QUOTED))
+    Between two quotes of a line only commas matter. A quote opens a field only at its
+    start; within a quoted field two quotes are one of the text. Like all that tasks call
+    here this is made where it is used, so that it travels with them.
+    """
+    # Where a reader stands: before a field, in a bare field, in a quoted one, after a quote in it.
+    field, bare, quoted, after = range(4)
+    next_to_quote = {field: quoted, bare: bare, quoted: after, after: quoted}
+
+    def inside(line: bytes, entered: bool) -> bool:
+        if b'"' not in line:
+            return entered
+        at = quoted if entered else field
+        for i, piece in enumerate(line.split(b'"')):
+            if i:
+                # Every piece but the first follows a quote.
+                at = next_to_quote[at]
+            if piece and at != quoted:
+                at = field if piece.endswith(b",") else bare
+        return at == quoted
+
+    return inside
+
+
+def _stepped(lines: DataFrame) -> DataFrame:
+    """For each split: whether a reader ends inside a quoted field, and how many records begin.
+
+    ``outer`` and ``n_outer`` are for a reader that enters it outside of quoted fields,
+    ``inner`` and ``n_inner`` for one that enters it inside.
+    """
+    inside, names = _reader(), [part.split()[0] for part in SPLIT.split(", ")]
+
+    def stepped(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        at, done = None, []
+        for batch in batches:
+            for file, block, line in zip(*(column.to_pylist() for column in batch.columns)):
+                if at is None or at[:2] != [file, block]:
+                    at = [file, block, False, True, 0, 0]
+                    done.append(at)
+                outer, inner = at[2:4]
+                if line.strip(b" \t\r"):
+                    at[4] += not outer
+                    at[5] += not inner
+                at[2] = inside(line, outer)
+                at[3] = at[2] if outer == inner else inside(line, inner)
+        if done:
+            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64()]
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*done), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return lines.mapInArrow(stepped, SPLIT)
+
+
+def _cut(lines: DataFrame) -> DataFrame:
+    """Records, or the parts of them that lie in one split, from lines with ``entry`` and ``start``.
+
+    ``part`` tells that a record has lines in other splits, or is left open by the file's end.
+    """
+    inside, names, most = _reader(), [part.split()[0] for part in PIECE.split(", ")], BATCH_BYTES
+
+    def cut(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+        done, size = [], 0
+        at, held, record, part, state = None, [], 0, False, False
+
+        def told() -> pa.RecordBatch:
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*done), kinds)]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        for batch in batches:
+            for file, block, entry, start, line in zip(*(column.to_pylist() for column in batch.columns)):
+                if at != (file, block):
+                    if held:
+                        done.append((*at, record, part or state, b"\n".join(held)))
+                    # What comes first belongs to the record that the splits before left open.
+                    at, held, record, part, state = (file, block), [], start - 1, entry, entry
+                if state:
+                    held.append(line)
+                elif line.strip(b" \t\r"):
+                    if held:
+                        done.append((*at, record, part, b"\n".join(held)))
+                    held, record, part = [line], record + 1, False
+                state = inside(line, state)
+                size += len(line)
+                if size >= most and done:
+                    yield told()
+                    done, size = [], 0
+        if held:
+            done.append((*at, record, part or state, b"\n".join(held)))
+        if done:
+            yield told()
+
+    return lines.mapInArrow(cut, PIECE)
 
 
 def _states(steps: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -67,65 +152,55 @@ def records(spark: SparkSession, path: str, split_bytes: int | None = None) -> D
 
     A record ends at a line feed outside of quoted fields, with or without a carriage return
     before it; blank lines between records are none. ``split_bytes`` sets the size of splits.
+    One copy of the records is written, and nothing else of their size.
     """
-    setting = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(setting)
-    raw = spark.read.option("lineSep", "\n").text(path)
-    outer, inner = _leaves_quoted(F.col("value"), _FIELD), _leaves_quoted(F.col("value"), _QUOTED)
-    try:
-        if split_bytes:
-            spark.conf.set(setting, str(split_bytes))
-        # Splits and their order come from one written copy.
-        lines = stored(
-            raw.select(
-                F.col("value").alias("line"),
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("id"),
-                outer.alias("outer"),
-                inner.alias("inner"),
-            )
-        )
-    finally:
-        spark.conf.set(setting, before)
-    split = ["file", "block"]
-    # From outside and from inside to one state, or each to the other.
-    stepped = lines.select(
-        *split, "id", "line",
-        F.when(F.col("outer") == F.col("inner"), F.col("outer")).alias("set"),
-        (F.col("outer") & ~F.col("inner")).alias("flip"),
-    )
-    told = _states(stepped, split, "id")
-    ends = told.groupBy(*split).agg(F.max_by(F.struct("settled", "flips"), "id").alias("e"))
-    # A split as one step: it settles the state, flips it, or leaves it.
-    last = F.col("e.flips") % 2 == 1
-    whole = ends.select(*split, (F.col("e.settled") != last).alias("set"), (F.col("e.settled").isNull() & last).alias("flip"))
-    along = Window.partitionBy("file").orderBy("block")
-    entries = _states(whole, ["file"], "block").select(
-        *split,
-        F.coalesce(F.lag(_inside(F.col("settled"), F.col("flips"), F.lit(False))).over(along), F.lit(False)).alias("entry"),
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").cast("binary").alias("line"),
     )
-    here = Window.partitionBy(*split).orderBy("id")
-    left = join_on(told, entries, split).withColumn("left", _inside(F.col("settled"), F.col("flips"), F.col("entry")))
-    entered = left.withColumn("entered", F.coalesce(F.lag("left").over(here), F.col("entry")))
-    blank = F.trim(F.regexp_replace("line", r"[\t\r]", " ")) == ""
-    begun = stored(
-        entered.where(F.col("entered") | ~blank).select(
-            *split, "id", "line", "entered",
-            F.sum((~F.col("entered")).cast("long")).over(here.rowsBetween(Window.unboundedPreceding, 0)).alias("nth"),
+    # Both passes cut files at the same places, even if executors come or go between them.
+    wide = ("spark.sql.files.minPartitionNum", "spark.sql.leafNodeDefaultParallelism")
+    tasks = int(next((n for n in (spark.conf.get(name, None) for name in wide) if n), spark.sparkContext.defaultParallelism))
+    usual = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_SPLIT_BYTES))
+    held = {
+        _SPLIT_BYTES: str(split_bytes or usual),
+        "spark.sql.files.minPartitionNum": str(tasks),
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
+    }
+    split = ["file", "block"]
+    with settings(spark, held):
+        if split_bytes and split_bytes < usual:
+            # A task reads so many small splits, one after another, as make a usual one.
+            fewer = -(-lines.rdd.getNumPartitions() * split_bytes // usual)
+            lines = lines.coalesce(max(fewer, tasks))
+        steps = stored(_stepped(lines))
+        # A split as one step: it settles the state, flips it, or leaves it.
+        whole = steps.select(
+            *split,
+            F.when(F.col("outer") == F.col("inner"), F.col("outer")).alias("set"),
+            (F.col("outer") & ~F.col("inner")).alias("flip"),
+        )
+        along = Window.partitionBy("file").orderBy("block")
+        left = F.lag(_inside(F.col("settled"), F.col("flips"), F.lit(False))).over(along)
+        entries = _states(whole, ["file"], "block").select(*split, F.coalesce(left, F.lit(False)).alias("entry"))
+        begun = F.when(F.col("entry"), F.col("n_inner")).otherwise(F.col("n_outer"))
+        earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+        starts = steps.join(entries, split).select(
+            *split, "entry", F.coalesce(F.sum(begun).over(earlier), F.lit(0)).alias("start")
         )
-    )
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    starts = begun.groupBy(*split).agg(F.max("nth").alias("n")).select(
-        *split, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
-    )
-    numbered = join_on(begun, starts, split).withColumn("record", F.col("start") + F.col("nth") - 1)
-    held = F.sort_array(F.collect_list(F.struct("block", "id", "line")))
-    joined = numbered.groupBy("file", "record").agg(held.alias("lines"))
-    text = F.regexp_replace(F.array_join(F.col("lines.line"), "\n"), r"\r$", "")
+        # One row for each split; a join that moved the lines would lose their order.
+        entered = lines.join(F.broadcast(starts), split, "left")
+        lost = F.raise_error(F.lit(f"files of {path} were cut otherwise the second time")).cast("boolean")
+        pieces = stored(_cut(entered.select(*split, F.coalesce("entry", lost).alias("entry"), "start", "line")), compression="zstd")
+    fragments = F.sort_array(F.collect_list(F.struct("block", F.col("text").cast("string").alias("text"))))
+    joined = pieces.where("part").groupBy("file", "record").agg(F.array_join(fragments["text"], "\n").alias("text"))
+    parts = stored(joined, compression="zstd")
+    found = pieces.where("NOT part").select("file", "record", F.col("text").cast("string").alias("text")).unionByName(parts)
+    text = F.regexp_replace("text", r"\r$", "")
     # A byte order mark is no text.
     bare = F.when((F.col("record") == 0) & text.startswith("\ufeff"), F.substr(text, F.lit(2))).otherwise(text)
-    return joined.select("file", "record", bare.alias("text"))
+    return found.select("file", "record", bare.alias("text"))
 
 
 # Fields are parsed one record at a time; what is quoted stays as it is.
@@ -158,7 +233,7 @@ def read_csv(
     short record lacks are null, further ones are dropped; empty fields are null. A file
     without a header has no rows.
     """
-    found = stored(records(spark, path, split_bytes))
+    found = records(spark, path, split_bytes)
     headers = found.where("record = 0").select("text").distinct().limit(2).collect()
     if len(headers) > 1:
         raise ValueError(f"files of {path} have different headers")
