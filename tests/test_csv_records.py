@@ -126,3 +126,15 @@ def test_read_any_reads_what_was_written(spark, tmp_path):
     assert [(r.row_index, r.id, r.text) for r in rows] == [
         (0, "1", 'he said "hi", ok'), (1, "2", "two\nlines"), (2, "3", "plain")
     ]
+
+
+def test_read_any_writes_each_file_once(spark, tmp_path):
+    rows = [large(str(tmp_path / f"{n}.csv")) for n in range(2)]
+    folder = tmp_path / "both.csv"
+    folder.mkdir()
+    for n in range(2):
+        (tmp_path / f"{n}.csv").rename(folder / f"{n}.csv")
+    before = bytes_in(scratch_dir(spark))
+    read = tables.read_any(spark, str(folder))
+    assert bytes_in(scratch_dir(spark)) - before < bytes_in(str(folder))
+    assert sorted((r.row_index, r.text) for r in read.collect()) == sorted(rows[0] + rows[1])
